@@ -1,0 +1,5 @@
+"""No streaming operator exists: every input is a finished snapshot.
+
+The column builders in ``marketlens.functions`` hold no state and run no action,
+so they can be used on a streaming DataFrame as they are.
+"""
