@@ -6,6 +6,7 @@ free of lambdas so that the projection keeps whole-stage code generation.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
@@ -42,7 +43,7 @@ def split_list(text: ColumnLike, separator: str = ",", noise: str = LIST_NOISE)
     """Separated text -> array of trimmed, non-empty labels in order of first appearance."""
     bare = F.trim(F.regexp_replace(as_column(text), noise, ""))
     # Blanks around a separator belong to it: labels come out trimmed without a per-element lambda.
-    labels = F.split(bare, rf" *\Q{separator}\E *")
+    labels = F.split(bare, f" *{re.escape(separator)} *")
     return F.array_distinct(F.array_remove(labels, ""))
 
 

@@ -10,8 +10,12 @@ from marketlens.operators.ranking import top_k, top_k_per_group
 
 
 def group_sizes(df: DataFrame, key: str, unit: str = "games") -> DataFrame:
-    """Rows per key; rows without a key belong to no group."""
-    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(unit))
+    """Rows per key; rows without a key belong to no group.
+
+    Counting the key leaves 0 for the NULL group, which goes after the aggregate.
+    A NOT NULL filter would be pushed to the scan and work out a derived key twice.
+    """
+    return df.groupBy(key).agg(F.count(key).alias(unit)).filter(F.col(unit) > 0)
 
 
 def concentration(
@@ -83,19 +87,19 @@ def favourite_labels(
     share: str = "pct_of_publisher",
     top_groups: int = 8,
     k: int = 3,
+    weight: str | None = None,
 ) -> DataFrame:
     """For the largest groups, their most frequent labels and the share of the group's entities.
 
-    ``rows`` holds one row per (entity, label), ``sizes`` entities per key. The
-    list of leaders has ``top_groups`` rows whatever the data, so broadcasting it
-    is safe: raw rows are cut to the leaders before anything is shuffled.
+    ``rows`` holds one row per (entity, label), or pre-aggregated rows with their
+    number in ``weight``; ``sizes`` holds entities per key. The list of leaders has
+    ``top_groups`` rows whatever the data, so broadcasting it is safe: rows are cut
+    to the leaders before anything is shuffled.
     """
     leaders = largest_groups(sizes, key, unit, top_groups).withColumnRenamed(unit, group_total)
+    size = F.count("*") if weight is None else F.sum(weight)
     counts = (
-        rows.select(key, label)
-        .join(F.broadcast(leaders), key)
-        .groupBy(key, group_total, label)
-        .agg(F.count("*").alias(unit))
+        rows.join(F.broadcast(leaders), key).groupBy(key, group_total, label).agg(size.alias(unit))
     )
     return (
         top_k_per_group(counts, key, [F.desc(unit), F.asc(label)], k)

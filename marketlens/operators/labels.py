@@ -11,6 +11,20 @@ from marketlens.functions.columns import ColumnLike
 from marketlens.operators.ranking import top_k
 
 
+_POSITION = "_label_position"
+
+
+def _explode(df: DataFrame, kept: Sequence[str], labels: ColumnLike, label: str) -> DataFrame:
+    """Inner explode that works the array out once per row.
+
+    For a plain explode the optimizer infers "not null and not empty" filters below
+    it, which repeat the array's whole expression twice. The outer form infers
+    nothing; a missing position then marks the rows that had no label.
+    """
+    opened = df.select(*kept, F.posexplode_outer(labels).alias(_POSITION, label))
+    return opened.filter(F.col(_POSITION).isNotNull()).drop(_POSITION)
+
+
 def explode_labels(
     df: DataFrame, labels: str, label: str, keep: Sequence[str] | None = None
 ) -> DataFrame:
@@ -20,7 +34,7 @@ def explode_labels(
     repeated for each label, and pruning cannot undo that once it is written.
     """
     kept = [name for name in df.columns if name != label] if keep is None else list(keep)
-    return df.select(*kept, F.explode(labels).alias(label))
+    return _explode(df, kept, labels, label)
 
 
 def open_map(
@@ -33,7 +47,9 @@ def open_map(
     k: int | None = None,
 ) -> DataFrame:
     """Map -> (key, value) rows; with ``k`` only those with the largest values."""
-    rows = df.select(*keep, F.explode(map_column).alias(key, value))
+    # Map keys are never NULL, so a NULL key can only stand for an empty map.
+    opened = df.select(*keep, F.explode_outer(map_column).alias(key, value))
+    rows = opened.filter(F.col(key).isNotNull())
     if k is None:
         return rows
     return top_k(rows, [F.desc_nulls_last(value), F.asc(key), *keep], k)
@@ -52,7 +68,7 @@ def label_prevalence(
 
     ``labels`` must hold every label once per entity.
     """
-    rows = df.select(F.explode(labels).alias(label))
+    rows = _explode(df, [], labels, label)
     return label_shelf(rows, df, label, unit=unit, share=share, k=k)
 
 

@@ -6,7 +6,7 @@ operators and their oracles start from the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from marketlens.sources import RECORD_SCHEMA
 
@@ -62,14 +62,12 @@ FROM part p LEFT JOIN (
   FROM lineitem WHERE l_linenumber = 1 GROUP BY l_partkey) r ON r.l_partkey = p.p_partkey"""
 
 
-def dirty_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dirty_catalogue(part: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Flat rows with JSON text tags.
 
     Reports that read no review column lose the ``lineitem`` side altogether: the
     optimizer drops an outer join to unique keys that feeds nothing.
     """
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     returned = F.col("l_returnflag") == "R"
     reviews = (
         lineitem.filter("l_linenumber = 1")
@@ -84,9 +82,9 @@ def dirty_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.selectExpr(*_expressions("STRING"))
 
 
-def raw_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_catalogue(part: DataFrame, lineitem: DataFrame) -> DataFrame:
     """The catalogue in the shape of a flattened JSON record: the declared 23 columns."""
-    flat = dirty_catalogue(spark, sf_dir)
+    flat = dirty_catalogue(part, lineitem)
     given = {
         "tags": F.from_json("tags_json", RECORD_SCHEMA["tags"].dataType),
         "platforms": F.struct("windows", "mac", "linux"),
@@ -101,9 +99,8 @@ def raw_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nested_records(raw: DataFrame) -> DataFrame:
     """The catalogue as ``{"id": ..., "data": {...}}`` records."""
-    raw = raw_catalogue(spark, sf_dir)
     return raw.select("id", F.struct(*RECORD_SCHEMA.names).alias("data"))
 
 

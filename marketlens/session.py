@@ -14,6 +14,8 @@ def get_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # Recording the Python call site of every expression dominates short queries.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

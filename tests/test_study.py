@@ -1,0 +1,110 @@
+"""Invariants of the study on the derived catalogue."""
+
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from marketlens.plans import study
+from marketlens.plans.catalogue import clean, genre_facts, with_age_flags
+from marketlens.plans.dirty_catalogue import raw_catalogue
+
+
+@pytest.fixture(scope="module")
+def raw(spark, sf_dir):
+    tables = [spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("part", "lineitem")]
+    return raw_catalogue(*tables)
+
+
+@pytest.fixture(scope="module")
+def games(raw):
+    return clean(raw).cache()
+
+
+@pytest.fixture(scope="module")
+def rows(games):
+    return genre_facts(games)
+
+
+def test_column_count(raw, games):
+    assert len(raw.columns) == 23
+    assert len(games.columns) == 47
+
+
+def test_scores_stay_in_range(games):
+    voted = games.filter(F.col("reviews") > 0)
+    off = (
+        (F.col("wilson_score") > F.col("positive_ratio") + 1e-12)
+        | (F.col("wilson_score") < -1e-12)
+        | (F.col("positive_ratio") > 1)
+        | F.col("wilson_score").isNull()
+    )
+    assert voted.count() > 0 and voted.filter(off).count() == 0
+
+
+def test_facts_match_list_lengths(games, rows):
+    assert rows.count() == games.agg(F.sum("n_genres")).first()[0]
+    assert rows.filter("genre = ''").count() == 0
+
+
+def test_wider_tag_list_contains_the_narrow_one(games):
+    flagged = with_age_flags(games, ["Brand2"], ["Brand2", "PROMO"])
+    assert flagged.filter("age_gated AND NOT mature").count() == 0
+    assert flagged.filter("age_gated IS NULL OR mature IS NULL").count() == 0
+
+
+def test_concentration_covers_the_catalogue(games):
+    table = {row["size"]: row for row in study.publisher_concentration(games).collect()}
+    total = table.pop("all")
+    assert total["games"] == games.count() == sum(row["games"] for row in table.values())
+    assert total["publishers"] == sum(row["publishers"] for row in table.values())
+    assert total["pct_of_catalogue"] == 100.0
+
+
+def test_bands_cover_the_catalogue(games):
+    for report in (study.price_bands, study.language_counts, study.discounts_by_band):
+        assert sum(row["games"] for row in report(games).collect()) == games.count()
+
+
+def test_prefix_cohort_is_at_least_the_exact_name(games):
+    exact = games.filter(F.col("publisher_clean") == "Brand#1").count()
+    prefixed = games.filter(study.publisher_cohort("brand#1")).count()
+    assert prefixed >= exact
+
+
+def test_cohort_prefix_is_literal(spark):
+    names = spark.createDataFrame([("A.B Games",), ("AxB",), ("a.b",)], "publisher_clean string")
+    matched = names.filter(study.publisher_cohort("a.b"))
+    assert sorted(rows_of(matched)) == [("A.B Games",), ("a.b",)]
+
+
+def test_favourites_hold_three_per_publisher_at_most(games, rows):
+    result = study.publisher_genres(rows, games).groupBy("publisher_clean").count().collect()
+    assert len(result) == 8 and all(row["count"] <= 3 for row in result)
+
+
+def test_whole_study_runs_on_stored_tables(games):
+    """The questions give the same answers from a materialised catalogue."""
+    from marketlens.sources import materialise
+
+    stored = materialise(games, "study_games")
+    facts = materialise(genre_facts(stored), "study_genre_rows")
+    cohort = study.publisher_cohort("brand#1")
+    for report in (
+        study.top_publishers,
+        study.publisher_concentration,
+        study.price_bands,
+        study.language_prevalence,
+        study.best_rated_games,
+        lambda g: study.cohort_reviews(g, cohort),
+        study.platform_combinations,
+    ):
+        assert rows_of(report(stored)) == rows_of(report(games))
+    lazy = genre_facts(games)
+    for report in (
+        lambda r: study.genre_satisfaction(r, min_rows=10),
+        lambda r: study.genre_value(r, min_rows=10),
+        lambda r: study.genre_platforms(r, min_rows=10),
+        lambda r: study.cohort_genres(r, cohort),
+        study.genre_mix,
+    ):
+        assert rows_of(report(facts)) == rows_of(report(lazy))
