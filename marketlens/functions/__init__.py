@@ -4,8 +4,9 @@ from marketlens.functions.aggregates import (
     count_where,
     distinct_values,
     exact_mean,
-    grid_quantile,
+    grid_point,
     pct_where,
+    point_quantile,
     pooled_ratio,
 )
 from marketlens.functions.bands import (
@@ -44,7 +45,7 @@ __all__ = [
     "distinct_values",
     "exact_mean",
     "flags_from_struct",
-    "grid_quantile",
+    "grid_point",
     "has_any_label",
     "is_integer_text",
     "json_to_map",
@@ -53,6 +54,7 @@ __all__ = [
     "parse_bracket",
     "parse_date_shapes",
     "pct_where",
+    "point_quantile",
     "pooled_ratio",
     "positive_ratio",
     "split_list",

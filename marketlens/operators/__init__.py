@@ -29,6 +29,7 @@ from marketlens.operators.groups import (
     group_sizes,
     keep_members,
     largest_groups,
+    members_of_leaders,
 )
 from marketlens.operators.labels import (
     explode_labels,
@@ -39,6 +40,7 @@ from marketlens.operators.labels import (
     open_map,
     value_by_label,
 )
+from marketlens.operators.medians import grouped_medians
 from marketlens.operators.ranking import best_rated, top_k, top_k_per_group
 
 __all__ = [
@@ -61,12 +63,14 @@ __all__ = [
     "flag_rates_by_band",
     "flag_reach",
     "group_sizes",
+    "grouped_medians",
     "keep_members",
     "key_audit",
     "label_prevalence",
     "label_shelf",
     "largest_groups",
     "median_vs_pooled",
+    "members_of_leaders",
     "mix_shift",
     "open_map",
     "perfect_score_count",

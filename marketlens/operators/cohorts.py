@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marketlens.functions.aggregates import count_where, grid_quantile
 from marketlens.functions.bands import REVIEW_BANDS, Bands
+from marketlens.operators.medians import grouped_medians
 
 
 def cohort_vs_market(
@@ -22,20 +22,12 @@ def cohort_vs_market(
 ) -> DataFrame:
     """Per evidence band: rows and median ratio of the market and of the cohort."""
     voted = df.filter(F.col(evidence) > 0).select(
-        bands.rank(evidence).alias("rank"),
-        cohort.alias("member"),
-        F.col(ratio).alias("ratio"),
-        F.when(cohort, F.col(ratio)).alias("member_ratio"),
+        bands.rank(evidence).alias("rank"), F.col(ratio).alias("ratio"), cohort.alias("member")
     )
     members, member_median = f"{cohort_name}_{unit}", f"{cohort_name}_median"
+    populations = {unit: ("median_ratio", None), members: (member_median, F.col("member"))}
     return (
-        voted.groupBy("rank")
-        .agg(
-            F.count("*").alias(unit),
-            grid_quantile("ratio", 0.5, digits).alias("median_ratio"),
-            count_where(F.col("member")).alias(members),
-            grid_quantile("member_ratio", 0.5, digits).alias(member_median),
-        )
+        grouped_medians(voted, "rank", "ratio", digits, populations)
         .orderBy("rank")
         .select(bands.label("rank").alias(band), unit, "median_ratio", members, member_median)
     )
@@ -52,13 +44,10 @@ def cohort_by_label(
 ) -> DataFrame:
     """Per label the cohort appears in: its rows, all rows and the market's median ratio."""
     members = f"{cohort_name}_{unit}"
+    populations = {members: ("_member_median", cohort), unit: ("median_positive_ratio", None)}
     return (
-        rows.groupBy(label)
-        .agg(
-            count_where(cohort).alias(members),
-            F.count("*").alias(unit),
-            grid_quantile(ratio, 0.5, 3).alias("median_positive_ratio"),
-        )
+        grouped_medians(rows, label, ratio, 3, populations)
         .filter(F.col(members) > 0)
         .orderBy(F.desc(members), label)
+        .select(label, members, unit, "median_positive_ratio")
     )

@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from marketlens.functions.aggregates import count_where, exact_mean, grid_quantile, pct_where
+from marketlens.functions.aggregates import (
+    count_where,
+    exact_mean,
+    grid_point,
+    pct_where,
+    point_quantile,
+)
 from marketlens.functions.bands import Bands
 from marketlens.functions.columns import ColumnLike, as_column
 
@@ -36,9 +42,11 @@ def distribution_summary(
 
     def quantile(p: float) -> Column:
         if on_grid:
-            return grid_quantile(value, p, digits)
+            return point_quantile("_point", p, digits)
         return F.round(F.percentile_approx(value, p, accuracy), digits)
 
+    if on_grid:
+        df = df.withColumn("_point", grid_point(value, digits))
     measures = [
         F.round(F.min(value), digits).alias(f"min_{suffix}"),
         quantile(0.5).alias(f"median_{suffix}"),
@@ -81,12 +89,12 @@ def discount_summary(df: DataFrame, discount: str) -> DataFrame:
     """Discounted rows, their share of all rows, mean and median discount, in one pass."""
     on_sale = F.col(discount) > 0
     depth = F.when(on_sale, F.col(discount))
-    # A percentage has 101 possible values, which bounds the exact median.
     return df.select(depth.alias("depth")).agg(
         F.count("depth").alias("discounted_games"),
         F.round(F.try_divide(100 * F.count("depth"), F.count("*")), 1).alias("pct_of_catalogue"),
         F.round(F.avg("depth"), 1).alias("mean_discount"),
-        grid_quantile("depth", 0.5, 0).cast("int").alias("median_discount"),
+        # Whole percents are a grid of 101 points already.
+        point_quantile("depth", 0.5, 0).cast("int").alias("median_discount"),
     )
 
 

@@ -67,8 +67,12 @@ def concentration(
     )
 
 
-def largest_groups(sizes: DataFrame, key: str, unit: str = "games", k: int = 8) -> DataFrame:
-    return top_k(sizes, [F.desc(unit), F.asc(key)], k)
+def largest_groups(
+    sizes: DataFrame, key: str, *, unit: str = "games", k: int = 8, total: str | None = None
+) -> DataFrame:
+    """The ``k`` largest groups; ``total`` renames their size."""
+    leaders = top_k(sizes, [F.desc(unit), F.asc(key)], k)
+    return leaders if total is None else leaders.withColumnRenamed(unit, total)
 
 
 def keep_members(df: DataFrame, members: DataFrame, key: str) -> DataFrame:
@@ -76,31 +80,34 @@ def keep_members(df: DataFrame, members: DataFrame, key: str) -> DataFrame:
     return df.join(members.select(key), key, "left_semi")
 
 
+def members_of_leaders(df: DataFrame, leaders: DataFrame, key: str) -> DataFrame:
+    """Rows of the leading groups, each with its group's total.
+
+    ``leaders`` comes from ``largest_groups``, so it has k rows whatever the data
+    and is safe to broadcast: rows are cut before anything is exploded or shuffled.
+    """
+    return df.join(F.broadcast(leaders), key)
+
+
 def favourite_labels(
     rows: DataFrame,
-    sizes: DataFrame,
     key: str,
     label: str,
     *,
     unit: str = "games",
     group_total: str = "publisher_games",
     share: str = "pct_of_publisher",
-    top_groups: int = 8,
     k: int = 3,
     weight: str | None = None,
 ) -> DataFrame:
-    """For the largest groups, their most frequent labels and the share of the group's entities.
+    """Each group's most frequent labels and their share of the group's entities.
 
-    ``rows`` holds one row per (entity, label), or pre-aggregated rows with their
-    number in ``weight``; ``sizes`` holds entities per key. The list of leaders has
-    ``top_groups`` rows whatever the data, so broadcasting it is safe: rows are cut
-    to the leaders before anything is shuffled.
+    ``rows`` holds one row per (entity, label) with the group's number of entities
+    in ``group_total``, as ``members_of_leaders`` gives it. Rows that were
+    pre-aggregated carry their number in ``weight``.
     """
-    leaders = largest_groups(sizes, key, unit, top_groups).withColumnRenamed(unit, group_total)
     size = F.count("*") if weight is None else F.sum(weight)
-    counts = (
-        rows.join(F.broadcast(leaders), key).groupBy(key, group_total, label).agg(size.alias(unit))
-    )
+    counts = rows.groupBy(key, group_total, label).agg(size.alias(unit))
     return (
         top_k_per_group(counts, key, [F.desc(unit), F.asc(label)], k)
         .withColumn(share, F.round(100 * F.col(unit) / F.col(group_total), 1))

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marketlens.functions.aggregates import count_where, exact_mean, grid_quantile, pooled_ratio
+from marketlens.functions.aggregates import count_where, exact_mean
 from marketlens.functions.columns import ColumnLike
+from marketlens.operators.medians import grouped_medians
 from marketlens.operators.ranking import top_k
 
 
@@ -107,15 +108,14 @@ def median_vs_pooled(
     min_rows: int = 100,
 ) -> DataFrame:
     """Per label: the median entity's ratio against the ratio over all votes."""
+    populations = {unit: ("median_positive_ratio", None)}
+    votes = {"_positive": positive, "_negative": negative}
+    pooled = F.try_divide("_positive", F.col("_positive") + F.col("_negative"))
     return (
-        rows.groupBy(label)
-        .agg(
-            F.count("*").alias(unit),
-            grid_quantile(ratio, 0.5, 3).alias("median_positive_ratio"),
-            F.round(pooled_ratio(positive, negative), 3).alias("pooled_ratio"),
-        )
+        grouped_medians(rows, label, ratio, 3, populations, votes)
         .filter(F.col(unit) >= min_rows)
         .orderBy(F.desc_nulls_last("median_positive_ratio"), label)
+        .select(label, unit, "median_positive_ratio", F.round(pooled, 3).alias("pooled_ratio"))
     )
 
 

@@ -708,8 +708,9 @@ on_genres(
 FROM genre_rows GROUP BY genre HAVING cohort_games > 0"""
     ),
 )
-bind(
+on_games(
     "publisher_genres",
+    study.publisher_genres,
     over_games_and(
         """sizes AS (SELECT publisher_clean, COUNT(*) AS publisher_games FROM games
   WHERE publisher_clean IS NOT NULL GROUP BY 1 ORDER BY publisher_games DESC, publisher_clean LIMIT 8),
@@ -720,10 +721,6 @@ counts AS (SELECT publisher_clean, genre, COUNT(*) AS games FROM genre_rows
 FROM counts JOIN sizes USING (publisher_clean)
 QUALIFY row_number() OVER (PARTITION BY publisher_clean ORDER BY games DESC, genre) <= 3""",
     ),
-)(
-    lambda spark, sf_dir: study.publisher_genres(
-        genre_facts_of(spark, sf_dir), games_of(spark, sf_dir)
-    )
 )
 on_genres(
     "genre_value",
@@ -973,15 +970,16 @@ def supplier_part_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
     sizes = ops.group_sizes(lines, "l_suppkey", "lines")
-    leaders = ops.largest_groups(sizes, "l_suppkey", "lines")
+    leaders = ops.largest_groups(sizes, "l_suppkey", unit="lines", total="supplier_lines")
     # Cut to eight suppliers, then collapse repeated parts: a part ordered on a third of
     # all lines reaches the join to parts as at most eight rows.
-    kept = ops.keep_members(lines, leaders, "l_suppkey")
-    repeats = kept.groupBy("l_suppkey", "l_partkey").agg(F.count("*").alias("repeats"))
-    rows = repeats.join(parts, "l_partkey")
+    repeats = (
+        ops.members_of_leaders(lines, leaders, "l_suppkey")
+        .groupBy("l_suppkey", "supplier_lines", "l_partkey")
+        .agg(F.count("*").alias("repeats"))
+    )
     return ops.favourite_labels(
-        rows,
-        sizes,
+        repeats.join(parts, "l_partkey"),
         "l_suppkey",
         "p_type",
         unit="lines",
@@ -991,6 +989,18 @@ def supplier_part_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@bind(
+    "largest_customers_orders",
+    """SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN (
+  SELECT o_custkey FROM orders GROUP BY o_custkey ORDER BY COUNT(*) DESC, o_custkey LIMIT 8)""",
+)
+def largest_customers_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    leaders = ops.largest_groups(ops.group_sizes(orders, "o_custkey"), "o_custkey")
+    kept = ops.keep_members(orders, leaders, "o_custkey")
+    return kept.select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 def _line_flags(lines: DataFrame) -> DataFrame:
     return lines.select(
         (F.col("l_returnflag") == "R").alias("returned"),

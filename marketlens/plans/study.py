@@ -229,9 +229,14 @@ def cohort_genres(rows: DataFrame, cohort: Column) -> DataFrame:
     return ops.cohort_by_label(rows, "genre", cohort, "positive_ratio")
 
 
-def publisher_genres(rows: DataFrame, games: DataFrame) -> DataFrame:
-    sizes = ops.group_sizes(games, "publisher_clean")
-    return ops.favourite_labels(rows, sizes, "publisher_clean", "genre")
+def publisher_genres(games: DataFrame, top_publishers: int = 8, k: int = 3) -> DataFrame:
+    """Reads the catalogue, not its genre facts: only the leaders' lists get exploded."""
+    key, total = "publisher_clean", "publisher_games"
+    sizes = ops.group_sizes(games, key)
+    leaders = ops.largest_groups(sizes, key, k=top_publishers, total=total)
+    theirs = ops.members_of_leaders(games, leaders, key)
+    rows = ops.explode_labels(theirs, "genres", "genre", keep=[key, total])
+    return ops.favourite_labels(rows, key, "genre", group_total=total, k=k)
 
 
 def genre_value(rows: DataFrame, min_rows: int = 150) -> DataFrame:

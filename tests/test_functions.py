@@ -19,9 +19,10 @@ from marketlens.functions import (
     count_where,
     distinct_values,
     exact_mean,
-    grid_quantile,
+    grid_point,
     has_any_label,
     pct_where,
+    point_quantile,
     pooled_ratio,
     positive_ratio,
     value_proxy,
@@ -192,11 +193,32 @@ def test_exact_mean_skips_null(spark):
     assert df.agg(exact_mean("v")).first()[0] == 2.0
 
 
+def test_exact_mean_of_large_and_negative_amounts(spark):
+    values = [1.5e11 + 0.125, 1.5e11 - 0.125, -7.25, -0.01]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    assert df.agg(exact_mean("v", 3)).first()[0] == pytest.approx(sum(values) / 4, rel=1e-15)
+
+
+def test_grid_point_is_round(spark):
+    """Ties included: 1.005 and 0.0345 lie just beside their decimal text."""
+    draw = random.Random(5)
+    values = [draw.random() for _ in range(2000)] + [k / 2000 for k in range(2001)]
+    values += [1.005, 2.675, 0.0345, -0.0345, -1.005, 99999.995, 1e6 + 0.0005, 0.0, -0.0]
+    values += [a / (a + b) for a in range(40) for b in range(1, 40)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (1, 2, 3):
+        differs = F.round("v", digits) != grid_point("v", digits) / 10**digits
+        assert df.filter(differs).count() == 0
+    ints = spark.createDataFrame([(3,), (-3,), (None,)], "v int").select(grid_point("v", 0))
+    assert rows_of(ints) == [(3,), (-3,), (None,)]
+
+
 @pytest.mark.parametrize("p", [0.01, 0.5, 0.9, 0.99])
-def test_grid_quantile_is_the_rounded_order_statistic(spark, p):
+def test_point_quantile_is_the_rounded_order_statistic(spark, p):
     draw = random.Random(11)
     values = [draw.random() for _ in range(3001)]
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(5)
     rank = math.ceil(p * len(values))
     exact = sorted(values)[rank - 1]
-    assert df.agg(grid_quantile("v", p, 3)).first()[0] == pytest.approx(round(exact, 3), abs=1e-12)
+    points = df.select(grid_point("v", 3).alias("point"))
+    assert points.agg(point_quantile("point", p, 3)).first()[0] == pytest.approx(round(exact, 3))

@@ -149,11 +149,11 @@ def test_favourite_labels(catalogue, df, facts):
         for label in sorted(counts, key=lambda x: (-counts[x], x))[:3]:
             share = half_up(100 * counts[label] / sizes[group], 1)
             expected.append((group, label, counts[label], sizes[group], share))
-    group_sizes = ops.group_sizes(df, "grp")
-    assert rows_of(ops.favourite_labels(facts, group_sizes, "grp", "label")) == expected
-    weighted = facts.groupBy("grp", "label", "year").agg(F.count("*").alias("w"))
-    result = ops.favourite_labels(weighted, group_sizes, "grp", "label", weight="w")
-    assert rows_of(result) == expected
+    leaders = ops.largest_groups(ops.group_sizes(df, "grp"), "grp", total="publisher_games")
+    rows = ops.members_of_leaders(facts, leaders, "grp")
+    assert rows_of(ops.favourite_labels(rows, "grp", "label")) == expected
+    weighted = rows.groupBy("grp", "publisher_games", "label", "year").agg(F.count("*").alias("w"))
+    assert rows_of(ops.favourite_labels(weighted, "grp", "label", weight="w")) == expected
 
 
 def test_keep_members(df, catalogue):
@@ -196,6 +196,31 @@ def test_median_vs_pooled(catalogue, facts):
     assert medians == sorted(medians, reverse=True)
 
 
+def test_grouped_medians_edges(spark):
+    """Even sizes take the lower median; NULL values and empty populations have none."""
+    df = spark.createDataFrame(
+        [("a", 0.1, True), ("a", 0.2, False), ("a", 0.3, False), ("a", 0.4, True), ("a", None, True)]
+        + [("b", None, True), ("c", 0.5, False)],
+        "k string, v double, m boolean",
+    )
+    medians = ops.grouped_medians(
+        df, "k", "v", 3, {"n": ("med", None), "members": ("member_med", F.col("m"))}, {"s": "v"}
+    )
+    result = {row["k"]: tuple(row)[1:] for row in medians.collect()}
+    assert result["a"] == (5, 3, pytest.approx(1.0), 0.2, 0.1)
+    assert result["b"] == (1, 1, None, None, None)
+    assert result["c"] == (1, 0, 0.5, 0.5, None)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 10, 101, 1000])
+def test_grouped_median_of_a_hot_group(spark, size):
+    draw = random.Random(size)
+    values = [draw.random() for _ in range(size)]
+    df = spark.createDataFrame([("hot", v) for v in values], "k string, v double").repartition(4)
+    row = ops.grouped_medians(df, "k", "v", 3, {"n": ("med", None)}).first()
+    assert (row["n"], row["med"]) == (size, half_up(median(values), 3))
+
+
 def test_cohort_by_label(catalogue, facts):
     result = {row[0]: row[1:] for row in rows_of(
         ops.cohort_by_label(facts, "label", F.col("grp") == "hot", "ratio")

@@ -77,8 +77,8 @@ def test_cohort_prefix_is_literal(spark):
     assert sorted(rows_of(matched)) == [("A.B Games",), ("a.b",)]
 
 
-def test_favourites_hold_three_per_publisher_at_most(games, rows):
-    result = study.publisher_genres(rows, games).groupBy("publisher_clean").count().collect()
+def test_favourites_hold_three_per_publisher_at_most(games):
+    result = study.publisher_genres(games).groupBy("publisher_clean").count().collect()
     assert len(result) == 8 and all(row["count"] <= 3 for row in result)
 
 
@@ -97,6 +97,7 @@ def test_whole_study_runs_on_stored_tables(games):
         study.best_rated_games,
         lambda g: study.cohort_reviews(g, cohort),
         study.platform_combinations,
+        study.publisher_genres,
     ):
         assert rows_of(report(stored)) == rows_of(report(games))
     lazy = genre_facts(games)
