@@ -171,7 +171,8 @@ SELECT 'data.tags' AS field, COUNT(*) AS n_fields,
 )
 def inferred_key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "json-infer")
-    nested_records(raw_of(spark, sf_dir)).write.mode("overwrite").json(path)
+    keyed = raw_of(spark, sf_dir).select("id", F.struct("appid", "tags").alias("data"))
+    keyed.write.mode("overwrite").json(path)
     return audit_inferred_keys(spark, path, "data.tags", multi_line=False)
 
 
@@ -210,7 +211,7 @@ def _per_type(games: DataFrame) -> DataFrame:
 
 @bind("materialised_table", _PER_TYPE_SQL)
 def materialised_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _per_type(materialise(games_of(spark, sf_dir), "catalogue_games"))
+    return _per_type(materialise(games_of(spark, sf_dir), "marketlens_games"))
 
 
 @bind("materialised_checkpoint", _PER_TYPE_SQL)
@@ -234,7 +235,7 @@ def materialised_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def materialised_genre_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = genre_facts_of(spark, sf_dir)
-    stored = materialise(facts, "catalogue_genre_rows")
+    stored = materialise(facts, "marketlens_genre_rows")
     # Two levels instead of two distinct counts in one, which would triple the rows.
     per_game = stored.groupBy("appid").agg(F.count("*").alias("n"))
     games = per_game.agg(F.sum("n").alias("genre_rows"), F.count("*").alias("games"))

@@ -1,6 +1,8 @@
 """Every rule against the dirty shapes it exists for."""
 
 import datetime
+import random
+import re
 
 import pytest
 from conftest import rows_of
@@ -158,3 +160,42 @@ def test_struct_flags(spark):
         (True, None, True, None),
         (None, None, None, None),
     ]
+
+
+def random_texts(alphabet, seed, n=1500):
+    draw = random.Random(seed)
+    return ["".join(draw.choices(alphabet, k=draw.randrange(14))) for _ in range(n)]
+
+
+def test_split_list_on_random_text(spark):
+    def model(text):
+        pieces = re.sub(r"\([^)]*\)|[;*]", "", text).split(",")
+        return list(dict.fromkeys(p for p in (piece.strip(" ") for piece in pieces) if p))
+
+    texts = random_texts(" ,,();*aB\t", 1)
+    assert apply(spark, texts, split_list("v")) == [model(text) for text in texts]
+
+
+def test_normalise_name_on_random_text(spark):
+    def model(text):
+        squeezed = re.sub(r"\s+", " ", re.sub("[®™]", "", text), flags=re.ASCII).strip(" ")
+        return squeezed or None
+
+    texts = random_texts(" \t\n®™aB,\u00a0", 2)
+    assert apply(spark, texts, normalise_name("v")) == [model(text) for text in texts]
+
+
+def test_numbers_on_random_text(spark):
+    def bounded(text):
+        match = re.search(r"(\d+)", text)
+        return int(match[1]) if match and int(match[1]) <= 21 else None
+
+    def bracket(text):
+        digits = text.replace(",", "")
+        low, high = re.match(r"(\d+)", digits), re.search(r"\.\.\s*(\d+)$", digits)
+        low, high = (int(m[1]) if m else None for m in (low, high))
+        return low, high, None if low is None or high is None else (low + high) / 2
+
+    texts = random_texts("0123 .,,+..", 3)
+    parsed = apply(spark, texts, parse_bounded_int("v", 0, 21), *parse_bracket("v"))
+    assert parsed == [(bounded(text), *bracket(text)) for text in texts]
