@@ -26,6 +26,7 @@ from marketlens.plans.catalogue import (
     clean,
     genre_facts,
     with_age_flags,
+    with_cleaned_columns,
 )
 from marketlens.plans.dirty_catalogue import nested_records, raw_catalogue, write_json_arrays
 from marketlens.plans.oracle_text import (
@@ -423,7 +424,7 @@ on_games(
 )
 on_raw(
     "cleaning_report",
-    catalogue_cleaning_report,
+    lambda raw: catalogue_cleaning_report(with_cleaned_columns(raw)),
     over_games(
         "".join(
             [

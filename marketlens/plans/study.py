@@ -9,14 +9,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from marketlens import operators as ops
 from marketlens.functions import (
     AGE_BANDS,
     LIST_LENGTH_BANDS,
     PRICE_BANDS,
     normalise_name,
 )
-from marketlens import operators as ops
-from marketlens.plans.catalogue import ENTITY_TYPE, PLATFORMS
+from marketlens.plans.catalogue import (
+    ENTITY_TYPE,
+    PLATFORMS,
+    catalogue_cleaning_report,
+    genre_facts,
+    with_age_flags,
+    with_cleaned_columns,
+)
+from marketlens.sources import describe_schema, materialise, row_count
 
 
 def publisher_cohort(prefix: str) -> Column:
@@ -267,3 +275,93 @@ def platform_combinations(games: DataFrame) -> DataFrame:
 
 def genre_platforms(rows: DataFrame, min_rows: int = 150) -> DataFrame:
     return ops.flag_rate_by_label(rows, "genre", ("mac", "linux"), min_rows=min_rows)
+
+
+# --- everything at once ---------------------------------------------------------------
+
+
+def loading_and_cleaning(
+    records: DataFrame, games: DataFrame, sample_name: str, prefix: str
+) -> dict[str, DataFrame]:
+    return {
+        "schema": describe_schema(records),
+        "entity_tags": entity_tags(records, sample_name),
+        "key_check": key_check(records),
+        "type_census": type_census(records),
+        "scope_counts": scope_counts(records),
+        "price_check": price_check(games),
+        "release_coverage": release_coverage(games),
+        "annotated_languages": annotated_languages(games),
+        "publisher_spellings": publisher_spellings(games),
+        "publisher_forms": publisher_forms(games, prefix),
+        "owner_brackets": owner_brackets(games),
+        "declared_ages": declared_ages(games),
+        "scored_perfect": scored_perfect(games),
+        "cleaning_report": catalogue_cleaning_report(records),
+    }
+
+
+def market(games: DataFrame, cohort: Column) -> dict[str, DataFrame]:
+    return {
+        "top_publishers": top_publishers(games),
+        "publisher_concentration": publisher_concentration(games),
+        "releases_per_year": releases_per_year(games),
+        "releases_per_month": releases_per_month(games),
+        "price_summary": price_summary(games),
+        "price_bands": price_bands(games),
+        "discount_overview": discount_overview(games),
+        "discounts_by_band": discounts_by_band(games),
+        "language_prevalence": language_prevalence(games),
+        "language_counts": language_counts(games),
+        "age_census": age_census(games),
+        "age_thresholds": age_thresholds(games),
+        "age_group_flags": age_group_flags(with_age_flags(games)),
+        "perfect_scores": perfect_scores(games),
+        "best_rated_games": best_rated_games(games),
+        "cohort_reviews": cohort_reviews(games, cohort),
+    }
+
+
+def genres(games: DataFrame, rows: DataFrame, cohort: Column) -> dict[str, DataFrame]:
+    return {
+        "genre_row_count": row_count(rows, "genre_rows"),
+        "genre_shelf": genre_shelf(rows, games),
+        "genre_satisfaction": genre_satisfaction(rows),
+        "cohort_genres": cohort_genres(rows, cohort),
+        "publisher_genres": publisher_genres(games),
+        "genre_value": genre_value(rows),
+        "genre_mix": genre_mix(rows),
+    }
+
+
+def platforms(games: DataFrame, rows: DataFrame, cohort: Column) -> dict[str, DataFrame]:
+    members = games.filter(cohort)
+    return {
+        "platform_reach": platform_reach(games),
+        "platform_combinations": platform_combinations(games),
+        "cohort_platform_reach": platform_reach(members),
+        "cohort_platform_combinations": platform_combinations(members),
+        "genre_platforms": genre_platforms(rows),
+    }
+
+
+def run(
+    raw: DataFrame, *, prefix: str, sample_name: str, how: str = "table"
+) -> dict[str, DataFrame]:
+    """Clean and store the records and their genre facts, then plan every table of the study.
+
+    ``prefix`` names the publisher family compared with the market and
+    ``sample_name`` the entity whose tags are opened. The source is parsed once:
+    the stored records keep the rows out of scope for the audits, and the
+    catalogue is a pushed-down filter over them. The returned tables are lazy.
+    """
+    records = materialise(with_cleaned_columns(raw), "marketlens_study_records", how)
+    games = ops.scope_filter(records, "type", ENTITY_TYPE)
+    rows = materialise(genre_facts(games), "marketlens_study_genre_rows", how)
+    cohort = publisher_cohort(prefix)
+    return {
+        **loading_and_cleaning(records, games, sample_name, prefix),
+        **market(games, cohort),
+        **genres(games, rows, cohort),
+        **platforms(games, rows, cohort),
+    }
