@@ -36,29 +36,36 @@ def distribution_summary(
 ) -> DataFrame:
     """Min, median, mean, deviation, p90, p99, max and the share of a price ending.
 
-    Quantiles come from a sketch of bounded size. ``on_grid`` makes them exact by
-    counting rounded values; use it when the measure has few distinct ones.
+    The quantiles share one sketch, whose size ``accuracy`` bounds. ``on_grid`` makes
+    them exact by counting rounded values; use it when the measure has few distinct
+    ones, as list prices do.
     """
-
-    def quantile(p: float) -> Column:
-        if on_grid:
-            return point_quantile("_point", p, digits)
-        return F.round(F.percentile_approx(value, p, accuracy), digits)
-
+    names = {f"median_{suffix}": 0.5, "p90": 0.9, "p99": 0.99}
     if on_grid:
         df = df.withColumn("_point", grid_point(value, digits))
-    measures = [
-        F.round(F.min(value), digits).alias(f"min_{suffix}"),
-        quantile(0.5).alias(f"median_{suffix}"),
-        F.round(exact_mean(value, digits), digits).alias(f"mean_{suffix}"),
-        F.round(F.stddev(value), digits).alias(f"stddev_{suffix}"),
-        quantile(0.9).alias("p90"),
-        quantile(0.99).alias("p99"),
-        F.round(F.max(value), digits).alias(f"max_{suffix}"),
-    ]
+        sketch = []
+        quantiles = {name: point_quantile("_point", p, digits) for name, p in names.items()}
+    else:
+        sketch = [F.percentile_approx(value, list(names.values()), accuracy).alias("_quantiles")]
+        quantiles = {}
+    measures = {
+        f"min_{suffix}": F.round(F.min(value), digits),
+        f"mean_{suffix}": F.round(exact_mean(value, digits), digits),
+        f"stddev_{suffix}": F.round(F.stddev(value), digits),
+        f"max_{suffix}": F.round(F.max(value), digits),
+        **quantiles,
+    }
     if ending is not None:
-        measures.append(pct_where(ending).alias(ending_name))
-    return df.agg(*measures)
+        measures[ending_name] = pct_where(ending)
+    summary = df.agg(*[measure.alias(name) for name, measure in measures.items()], *sketch)
+    if not on_grid:
+        found = F.col("_quantiles")
+        summary = summary.withColumns(
+            {name: F.round(found[i], digits) for i, name in enumerate(names)}
+        )
+    order = [f"{name}_{suffix}" for name in ("min", "median", "mean", "stddev")]
+    order += ["p90", "p99", f"max_{suffix}"]
+    return summary.select(*order, *([] if ending is None else [ending_name]))
 
 
 def band_shares(
