@@ -119,3 +119,55 @@ def test_same_answers_from_stored_tables(games):
         study.genre_mix,
     ):
         assert rows_of(report(facts)) == rows_of(report(lazy))
+
+
+def all_tables(games):
+    """Every table over the catalogue alone, without storing anything."""
+    cohort = study.publisher_cohort("acme")
+    rows = genre_facts(games)
+    return {
+        **study.market(games, cohort),
+        **study.genres(games, rows, cohort),
+        **study.platforms(games, rows, cohort),
+    }
+
+
+@pytest.fixture(scope="module")
+def blank(spark):
+    """Records of which nothing but the key and the type is known."""
+    from marketlens.sources import RECORD_SCHEMA
+
+    known = {"appid": F.col("id"), "type": F.lit("game")}
+    columns = [
+        known.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name)
+        for field in RECORD_SCHEMA
+    ]
+    return spark.range(5).select(F.col("id").cast("string").alias("id"), *columns)
+
+
+def test_unknown_values_break_nothing(blank):
+    games = clean(blank).cache()
+    tables = {name: rows_of(table) for name, table in all_tables(games).items()}
+    assert tables["top_publishers"] == []
+    assert tables["publisher_concentration"] == [
+        ("no publisher", 0, 5, 100.0),
+        ("all", 0, 5, 100.0),
+    ]
+    assert tables["price_bands"] == [("$40+", 5, 100.0)]
+    assert tables["language_counts"] == [("21+", 5, 100.0)]
+    assert tables["age_group_flags"] == [("unparsed", 5, 0, 0.0, 0, 0.0)]
+    assert tables["discount_overview"] == [(0, 0.0, None, None)]
+    assert tables["releases_per_year"] == []
+    assert tables["cohort_reviews"] == []
+    assert tables["genre_row_count"] == [(0,)]
+    assert tables["platform_reach"] == [(5, 0, 0, 0)]
+    report = study.catalogue_cleaning_report(study.with_cleaned_columns(blank))
+    assert [row["n"] for row in report.collect()] == [0, 0, 5, 0, 0, 0, 5, 5, 5]
+
+
+def test_an_empty_catalogue_breaks_nothing(blank):
+    games = clean(blank.filter("appid < 0")).cache()
+    tables = {name: rows_of(table) for name, table in all_tables(games).items()}
+    one_row = {"price_summary", "discount_overview", "age_thresholds", "perfect_scores"}
+    one_row |= {"genre_row_count", "platform_reach", "cohort_platform_reach"}
+    assert {name for name, table in tables.items() if table} == one_row
