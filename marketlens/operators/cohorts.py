@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marketlens.functions.bands import REVIEW_BANDS, Bands
 from marketlens.operators.medians import grouped_medians
+from marketlens.operators.ranking import few_rows
 
 
 def cohort_vs_market(
@@ -27,7 +28,7 @@ def cohort_vs_market(
     members, member_median = f"{cohort_name}_{unit}", f"{cohort_name}_median"
     populations = {unit: ("median_ratio", None), members: (member_median, F.col("member"))}
     return (
-        grouped_medians(voted, "rank", "ratio", digits, populations)
+        few_rows(grouped_medians(voted, "rank", "ratio", digits, populations))
         .orderBy("rank")
         .select(bands.label("rank").alias(band), unit, "median_ratio", members, member_median)
     )

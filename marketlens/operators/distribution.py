@@ -13,6 +13,7 @@ from marketlens.functions.aggregates import (
 )
 from marketlens.functions.bands import Bands
 from marketlens.functions.columns import ColumnLike, as_column
+from marketlens.operators.ranking import few_rows
 
 
 def calendar_counts(
@@ -83,10 +84,11 @@ def band_shares(
     The bands partition the rows, so the denominator is the sum of the counts: no
     second scan, and the window sees one row per band.
     """
-    counts = df.groupBy(bands.rank(value, first).alias("rank")).agg(F.count("*").alias(unit))
+    per_band = df.groupBy(bands.rank(value, first).alias("rank")).agg(F.count("*").alias(unit))
     everything = F.sum(unit).over(Window.partitionBy())
     return (
-        counts.withColumn(share, F.round(100 * F.col(unit) / everything, 1))
+        few_rows(per_band)
+        .withColumn(share, F.round(100 * F.col(unit) / everything, 1))
         .orderBy("rank")
         .select(bands.label("rank").alias(band), unit, share)
     )
@@ -120,17 +122,14 @@ def conditional_rate_by_band(
     mean: str = "mean_discount",
 ) -> DataFrame:
     """Per band: rows, matching rows, their rate, and the mean of ``depth`` among them."""
-    return (
-        df.groupBy(bands.rank(value, first).alias("rank"))
-        .agg(
-            F.count("*").alias(unit),
-            count_where(predicate).alias(hits),
-            pct_where(predicate).alias(rate),
-            F.round(F.avg(F.when(predicate, as_column(depth))), 1).alias(mean),
-        )
-        .orderBy("rank")
-        .select(bands.label("rank").alias(band), unit, hits, rate, mean)
+    per_band = df.groupBy(bands.rank(value, first).alias("rank")).agg(
+        F.count("*").alias(unit),
+        count_where(predicate).alias(hits),
+        pct_where(predicate).alias(rate),
+        F.round(F.avg(F.when(predicate, as_column(depth))), 1).alias(mean),
     )
+    labelled = [bands.label("rank").alias(band), unit, hits, rate, mean]
+    return few_rows(per_band).orderBy("rank").select(*labelled)
 
 
 def flag_rates_by_band(
@@ -150,9 +149,5 @@ def flag_rates_by_band(
     for flag, (hits, rate) in flags.items():
         measures += [count_where(F.col(flag)).alias(hits), pct_where(F.col(flag)).alias(rate)]
     names = [name for pair in flags.values() for name in pair]
-    return (
-        df.groupBy(bands.rank(value).alias("rank"))
-        .agg(F.count("*").alias(unit), *measures)
-        .orderBy("rank")
-        .select(bands.label("rank").alias(band), unit, *names)
-    )
+    per_band = df.groupBy(bands.rank(value).alias("rank")).agg(F.count("*").alias(unit), *measures)
+    return few_rows(per_band).orderBy("rank").select(bands.label("rank").alias(band), unit, *names)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from marketlens.functions.bands import GROUP_SIZE_BANDS, Bands
 from marketlens.functions.aggregates import count_where
-from marketlens.operators.ranking import top_k, top_k_per_group
+from marketlens.operators.ranking import few_rows, top_k, top_k_per_group
 
 
 def group_sizes(df: DataFrame, key: str, unit: str = "games") -> DataFrame:
@@ -59,7 +59,8 @@ def concentration(
     # The total row is the largest; the frame holds one row per band.
     catalogue = F.max(unit).over(Window.partitionBy())
     return (
-        by_band.withColumn(share, F.round(100 * F.col(unit) / catalogue, 1))
+        few_rows(by_band)
+        .withColumn(share, F.round(100 * F.col(unit) / catalogue, 1))
         .orderBy(
             (F.col("is_total") == 1) | (F.col("band") == residual_rank), groups, "is_total", "band"
         )

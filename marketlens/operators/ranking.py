@@ -17,6 +17,15 @@ def top_k(df: DataFrame, order: Sequence[ColumnLike], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def few_rows(df: DataFrame) -> DataFrame:
+    """An aggregate with one row per band, kept in one partition.
+
+    What its last task reads is one row per band and map task. Windows without a
+    key and sorts over it then need no shuffle of their own.
+    """
+    return df.coalesce(1)
+
+
 def top_k_per_group(
     df: DataFrame, group: str, order: Sequence[ColumnLike], k: int, rank: str = "rank"
 ) -> DataFrame:

@@ -51,6 +51,7 @@ def read_catalogue(
     *,
     multi_line: bool = True,
     nested: str | None = "data",
+    spread: int | None = None,
     **options: str,
 ) -> DataFrame:
     """Read JSON under a declared schema, which spares the inference pass.
@@ -58,10 +59,14 @@ def read_catalogue(
     ``multi_line`` reads files that hold one array (or one pretty-printed object)
     each; such a file cannot be split, so one task parses all of it. Large
     catalogues should come as JSON Lines with ``multi_line=False``, or as many
-    moderate array files, and be written to a columnar table once.
+    moderate array files, and be written to a columnar table once. When the source
+    is one array after all, ``spread`` deals its rows out to that many partitions,
+    so that cleaning does not stay on the task that parsed it.
     """
     reader = spark.read.schema(schema).option("multiLine", multi_line).options(**options)
     records = reader.json(path)
+    if spread:
+        records = records.repartition(spread)
     return flatten_struct(records, nested) if nested else records
 
 

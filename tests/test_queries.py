@@ -131,3 +131,18 @@ def test_top_k_per_group_is_cut_before_the_shuffle(spark, sf_dir):
 def test_one_scan_per_report(spark, sf_dir, name):
     plan = plan_of(spark, sf_dir, name)
     assert plan.count("part.parquet") == 1
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["price_bands", "discounts_by_band", "age_group_flags", "quantity_bands", "platform_combinations"],
+)
+def test_band_reports_shuffle_once(spark, sf_dir, name):
+    assert plan_of(spark, sf_dir, name).count("Exchange ") == 1
+
+
+def test_medians_shuffle_only_grid_points(spark, sf_dir):
+    """Facts are shuffled once, collapsed; the window and the last aggregate share a partitioning."""
+    plan = plan_of(spark, sf_dir, "customer_cohort_orders")
+    above_the_join = plan.split("Join")[0]
+    assert above_the_join.count("Exchange ") == 2

@@ -88,6 +88,12 @@ def test_lines_scan(spark, tmp_path):
     assert read_catalogue(spark, str(path), multi_line=False).count() == 4
 
 
+def test_one_array_can_be_spread(spark, array_file):
+    spread = read_catalogue(spark, array_file, spread=3)
+    assert "RoundRobinPartitioning(3)" in spread._jdf.queryExecution().executedPlan().toString()
+    assert sorted(row["appid"] for row in spread.collect()) == [1, 2, 3, 4]
+
+
 def test_nested_records_stay_nested_on_request(spark, array_file):
     assert read_catalogue(spark, array_file, nested=None).schema == CATALOGUE_SCHEMA
 
