@@ -38,23 +38,26 @@ def grid_point(value: ColumnLike, digits: int) -> Column:
     steps = value * 10**digits
     tie_distance = F.abs(steps - F.floor(steps) - 0.5)
     near_tie = tie_distance < 1e-9 + F.abs(steps) * 4e-16
-    careful = F.round(F.round(value, digits) * 10**digits).cast("long")
-    return F.when(near_tie, careful).otherwise(F.floor(steps + 0.5))
+    settled = F.when(near_tie, F.round(value, digits) * 10**digits).otherwise(steps)
+    return F.floor(settled + 0.5)
 
 
-def exact_mean(value: ColumnLike, scale: int = 2) -> Column:
+def exact_mean(value: ColumnLike, scale: int = 2, wide: bool = False) -> Column:
     """Mean of amounts with ``scale`` decimals.
 
     A sum of doubles depends on the order in which shuffle blocks arrive, and a
     mean that falls on a rounding tie then flips between runs. Sums of integers do
-    not. Steps are summed as millions and remainder, which leaves room for 10^11
-    rows of 10^13 steps each.
+    not. A plain sum holds 10^12 rows of prices; ``wide`` sums millions and
+    remainder apart, for amounts up to 10^13 steps on as many rows.
     """
     steps = grid_point(value, scale)
-    remainder = F.pmod(steps, F.lit(1_000_000))
-    millions = ((steps - remainder) / 1_000_000).cast("long")
-    total = (F.sum(millions).cast("double") * 1e6 + F.sum(remainder)) / 10**scale
-    return F.try_divide(total, F.count(as_column(value)))
+    if wide:
+        remainder = F.pmod(steps, F.lit(1_000_000))
+        millions = ((steps - remainder) / 1_000_000).cast("long")
+        total = F.sum(millions).cast("double") * 1e6 + F.sum(remainder)
+    else:
+        total = F.sum(steps)
+    return F.try_divide(total / 10**scale, F.count(as_column(value)))
 
 
 def distinct_values(column: ColumnLike) -> Column:

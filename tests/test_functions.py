@@ -196,7 +196,15 @@ def test_exact_mean_skips_null(spark):
 def test_exact_mean_of_large_and_negative_amounts(spark):
     values = [1.5e11 + 0.125, 1.5e11 - 0.125, -7.25, -0.01]
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
-    assert df.agg(exact_mean("v", 3)).first()[0] == pytest.approx(sum(values) / 4, rel=1e-15)
+    expected = pytest.approx(sum(values) / 4, rel=1e-15)
+    assert df.agg(exact_mean("v", 3)).first()[0] == expected
+    assert df.agg(exact_mean("v", 3, wide=True)).first()[0] == expected
+
+
+def test_wide_mean_outlasts_a_plain_sum(spark):
+    """2,000 amounts of 10^16 steps overflow a long, their millions do not."""
+    df = spark.range(2000).select(F.lit(1e13).alias("v"))
+    assert df.agg(exact_mean("v", 3, wide=True)).first()[0] == 1e13
 
 
 def test_grid_point_is_round(spark):
