@@ -136,7 +136,7 @@ def link_tool_calls(
     Returned: conv, call, seq, name, result_seq, status (linked, unanswered, duplicate,
     orphan), repeats, level, valid, errors (joined by "; ") and json, the canonical
     {"arguments", "id", "name", "result"}. Ordered by level, then seq, then call, calls
-    follow all they depend on; a call in or behind a cycle has level -1. Dependencies on
+    follow all they depend on; a call in or behind a cycle has level -1, an orphan null. Dependencies on
     identifiers that the conversation lacks, or on the call itself, are errors and do not
     order. Unknown names and arguments that are no JSON are errors; such arguments are
     kept as text.

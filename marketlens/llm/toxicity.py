@@ -29,8 +29,8 @@ def plain(token: str) -> str:
 
 
 def features(word: str) -> list[int]:
-    """Slots of the word itself, its ends and its shape."""
-    marks = (f"w{word}", f"p{word[:4]}", f"s{word[-3:]}", f"n{min(len(word), 12)}")
+    """Slots of the word itself and its ends."""
+    marks = (f"w{word}", f"p{word[:4]}", f"s{word[-3:]}")
     return [zlib.crc32(m.encode("utf-8", "surrogatepass")) % SLOTS for m in marks]
 
 

@@ -1,0 +1,133 @@
+import bisect
+import random
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import __spark_entry__ as driver
+from marketlens.llm import packing
+from marketlens.llm.packing import fullest, pack_documents, plan, sequences
+from marketlens.llm.queries import tokenizer_path
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def plain_pieces(tokenizer, rows, capacity):
+    out = []
+    for doc, text in rows:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+        for piece, start in enumerate(range(0, len(ids), capacity)):
+            part = ids[start:start + capacity]
+            out.append((doc, piece, start, len(part),
+                        zlib.crc32(np.array(part, "<u4").tobytes()), part))
+    return out
+
+
+def assert_gapless(rows, capacity):
+    bins = {}
+    for r in rows:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for members in bins.values():
+        at = 0
+        for offset, length in sorted(members):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(bins)
+
+
+TEXTS = [
+    (1, "One, two.three 3½ don't I'M  x"), (2, None), (3, ""), (3, ""), (None, "null id"),
+    (4, "<|endoftext|> a<|startoftext|>b"), (5, "á ́b c\x1cd\x85e f ΑΣ İ ﬁ 日本語"),
+    (6, "long " * 30_000), (7, "x" * 9_000), (8, "tab\tnew\nline\r\n\x0b\x0c end"),
+]
+
+
+def test_pieces_and_places(spark, tokenizer):
+    df = spark.createDataFrame([(*t, 1, 2) for t in TEXTS],
+                               "doc_id long, text string, length int, piece int")
+    placed = pack_documents(df, tokenizer_path(), capacity=50, keep_ids=True)
+    rows = placed.collect()
+    expected = plain_pieces(tokenizer, TEXTS, 50)
+    got = [(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows]
+    assert sorted(got, key=str) == sorted((e[:5] for e in expected), key=str)
+    bins = assert_gapless(rows, 50)
+    assert bins == -(-sum(e[3] for e in expected) // 50)
+    joined = sequences(placed).collect()
+    assert len(joined) == bins
+    ids = {r["sequence_id"]: np.frombuffer(r["ids"], "<u4") for r in joined}
+    for r in rows:
+        part = ids[r["sequence_id"]][r["offset"]:r["offset"] + r["length"]]
+        assert zlib.crc32(part.tobytes()) == r["ids_crc32"]
+
+
+def test_no_rows(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert pack_documents(df, tokenizer_path()).collect() == []
+
+
+def test_memory_is_bounded_and_harmless(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "WORDS", 20)
+    encoder = packing.WordTokens(tokenizer_path())
+    texts = [" ".join(f"w{i}x{j}" for i in range(9)) for j in range(30)]
+    for part in (texts[:3], texts[3:]):
+        expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in part]
+        got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(part)]
+        assert got == expected
+    assert len(encoder.known) <= 9 * 27 + 1
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_fullest_matches_all_sums(seed):
+    rng = random.Random(seed)
+    counts = np.zeros(61, np.int64)
+    for _ in range(rng.randrange(1, 5)):
+        counts[rng.randrange(1, 61)] += rng.randrange(1, 5)
+    room = rng.randrange(0, 60)
+    reachable = {0}
+    for length in np.flatnonzero(counts):
+        for _ in range(counts[length]):
+            reachable |= {s + int(length) for s in reachable if s + length <= room}
+    used = fullest(counts, room)
+    assert all(counts[length] >= n for length, n in used.items())
+    assert sum(length * n for length, n in used.items()) == max(reachable)
+
+
+def best_fit(histogram, capacity):
+    """Bins of best fit decreasing, piece by piece."""
+    rooms = []
+    for length in sorted(histogram, reverse=True):
+        for _ in range(histogram[length]):
+            i = bisect.bisect_left(rooms, length)
+            room = capacity if i == len(rooms) else rooms.pop(i)
+            bisect.insort(rooms, room - length)
+    return len(rooms)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_plan_uses_every_piece_once(seed):
+    rng = random.Random(seed)
+    histogram = {rng.randrange(1, 101): rng.randrange(1, 400) for _ in range(60)}
+    bins = plan(histogram, 100)
+    used = {}
+    for times, items in bins:
+        assert sum(length * n for length, n in items) <= 100
+        for length, n in items:
+            used[length] = used.get(length, 0) + times * n
+    assert used == histogram
+    assert sum(times for times, _ in bins) <= best_fit(histogram, 100) * 1.01
+
+
+def test_query_matches_brute_force(spark, sf_dir, tokenizer):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    rows = driver.queries()["op5_packing"](spark, sf_dir).collect()
+    expected = plain_pieces(tokenizer, [tuple(d) for d in docs], 4096)
+    got = [(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows]
+    assert sorted(got) == sorted(e[:5] for e in expected)
+    least = -(-sum(e[3] for e in expected) // 4096)
+    assert assert_gapless(rows, 4096) <= least + 1

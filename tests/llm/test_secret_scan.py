@@ -1,0 +1,96 @@
+import hashlib
+import math
+import re
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings, strategies as st
+
+import __spark_entry__ as driver
+from marketlens.llm.secret_scan import (
+    BASE_KINDS, WindowEntropy, base_spans, find_secrets, ordered,
+)
+
+
+def plain_base(text):
+    assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    found = [(m.start(), m.end(), "assign") for m in re.finditer(assign, text, re.I | re.A)
+             if len(m[2]) >= 12]
+    found += [(m.start(), m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text)
+              if len(m[0]) >= 18]
+    return found + [(m.start(), m.end(), "hex") for m in re.finditer("[0-9a-f]+", text)
+                    if len(m[0]) >= 16]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(
+    ["token", "Secret", "API_KEY", "=", ":", " ", '"', "AKIA", "Z" * 9, "0123456789abcdef", "g",
+     "é", "\n", "abcdefabcdefa", "9", "K", "ſecret"]), max_size=14).map("".join))
+def test_base_spans_match_the_plain_patterns(text):
+    assert sorted(base_spans(text)) == sorted(plain_base(text))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abc012", max_size=40), st.sampled_from([0.5, 1.0, 1.4]))
+def test_entropy_runs_match_recounted_windows(text, least):
+    width, covered = 6, set()
+    for i in range(len(text) - width + 1):
+        counts = Counter(text[i:i + width]).values()
+        if -sum(c / width * math.log2(c / width) for c in counts) >= least - 1e-12:
+            covered |= set(range(i, i + width))
+    runs = list(WindowEntropy(width).runs(text, least - 1e-12))
+    assert {i for a, b in runs for i in range(a, b)} == covered
+    assert all(b < c for (_, b), (c, _) in zip(runs, runs[1:]))
+
+
+KEY = "q7Zt9KfP2xLm4RvB8nWc3YhJ6sDg"
+
+
+def spans_of(spark, texts, **options):
+    df = spark.createDataFrame(
+        [(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, spans string"
+    )
+    found = find_secrets(df, **options)
+    assert found.columns == ["doc_id", "spans"]
+    return [[tuple(s) for s in r["spans"]] for r in sorted(found.collect())]
+
+
+def test_entropy_adds_spans_and_the_allow_list_removes_only_those(spark):
+    uuid = "123e4567-e89b-12d3-a456-426614174000"
+    texts = [f"see {KEY}.", "a" * 60, uuid, None, "", f"token = {KEY}", "1234567890" * 4]
+    got = spans_of(spark, texts)
+    assert got[0] == [(4, 32, "entropy_base64")]
+    assert got[1] == [(0, 60, "hex")] and got[2] == [] and got[3] == [] and got[4] == []
+    assert [s[2] for s in got[5]] == ["assign", "entropy_base64"]
+    assert got[6] == [(0, 40, "hex")]
+    assert spans_of(spark, [texts[5]], allowed=[r".*"]) == [[(0, 36, "assign")]]
+
+
+def test_offsets_are_code_points_in_a_very_long_text(spark):
+    text = "é😀 " * 200_000 + "AKIA" + "Q" * 16
+    assert spans_of(spark, [text]) == [[(600_000, 600_020, "access")]]
+
+
+def test_repeated_rows_and_no_rows(spark):
+    df = spark.createDataFrame([(None, "x"), (1, KEY), (1, KEY)], "doc_id long, text string")
+    assert len(find_secrets(df).collect()) == 3
+    assert find_secrets(df.limit(0)).collect() == []
+
+
+def test_query_matches_brute_force(spark, sf_dir):
+    got = {r["doc_id"]: r for r in driver.queries()["op2_secrets"](spark, sf_dir).collect()}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    assert len(got) == len(docs)
+    for doc_id, text in docs:
+        spans = plain_base(text or "")
+        row, counts = got[doc_id], Counter(s[2] for s in spans)
+        assert [row[f"n_{k}"] for k in BASE_KINDS] == [counts[k] for k in BASE_KINDS]
+        joined = ",".join(f"{k}:{a}:{b}" for a, b, k in ordered(spans))
+        assert row["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        rest = [s for s in row["spans"].split(",") if s.split(":")[0] in BASE_KINDS]
+        assert ",".join(rest) == joined
+
+
+@pytest.mark.parametrize("text", ["AKIA" * 6, "token=secret:abcdefghijklmnop", "api_key: 'short'"])
+def test_nested_candidates(text):
+    assert sorted(base_spans(text)) == sorted(plain_base(text))

@@ -1,0 +1,98 @@
+import base64
+import gzip
+import hashlib
+import io
+import random
+import zlib
+
+import pyarrow as pa
+import pytest
+
+from marketlens.llm import warc
+from marketlens.llm.shared import Shared
+from marketlens.llm.warc import member, parsed, read_archives, record, records_in, write_archives
+
+SCHEMA = "page_id long, url string, html string, same string"
+
+
+def expected_rows(rows, least=0):
+    by = {}
+    for page, _, html in rows:
+        data = (html or "").encode()
+        if len(data) >= least and page is not None:
+            by[data] = min(page, by.get(data, page))
+    out = []
+    for page, _, html in rows:
+        data = (html or "").encode()
+        first = by.get(data) if len(data) >= least else None
+        revisit = first is not None and first != page
+        sha = base64.b32encode(hashlib.sha1(data).digest()).decode()
+        out.append((page, len(data), sha, "revisit" if revisit else "response",
+                    first if revisit else None, None if revisit else data))
+    return sorted(out, key=str)
+
+
+def round_trip(spark, rows, split=1 << 24, **options):
+    shared = Shared(spark)
+    df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).repartition(3)
+    archives = shared.put(write_archives(df, shared.path(), **options))
+    got = read_archives(spark, archives, split_bytes=split).collect()
+    plain = [tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in got]
+    return sorted(plain, key=str), archives
+
+
+ROWS = [
+    (1, "http://a/x?y=1", "<html>é</html>"), (2, "http://b", "<html>é</html>"), (3, None, None),
+    (0, "http://c d\r\nX: 1", ""), (7, "http://ü", "\r\n\r\nWARC/1.1\r\n\x1f"), (7, "http://u", "same"),
+    (7, "http://u", "same"), (8, "u", "same"), (None, "u", "same"), (None, "u", "alone"),
+    (-4, "u", "minus"), (9, "u", "minus"), (10, "u", "w" * 3_000_000),
+]
+
+
+@pytest.mark.parametrize("split", [64, 1000, 1 << 24])
+def test_round_trip(spark, split):
+    rows = ROWS if split > 64 else ROWS[:-1]
+    assert round_trip(spark, rows, split)[0] == expected_rows(rows)
+
+
+def test_least_bytes_and_small_archives(spark):
+    got, _ = round_trip(spark, ROWS, least_bytes=5)
+    assert got == expected_rows(ROWS, 5)
+    assert round_trip(spark, [])[0] == []
+
+
+def test_archives_are_plain_gzip_members(spark):
+    _, archives = round_trip(spark, ROWS)
+    seen = 0
+    for path, size in archives.collect():
+        with open(path.removeprefix("file:"), "rb") as file:
+            data = file.read()
+        assert len(data) == size
+        seen += gzip.decompress(data).count(b"WARC/1.1\r\nWARC-Type: ")
+    assert seen == len(ROWS)
+
+
+def test_ranges_share_out_all_records():
+    """Random bytes hold gzip magic by chance; only real records are taken, each once."""
+    rng = random.Random(1)
+    blobs = []
+    for i in range(60):
+        noise = bytes(rng.getrandbits(8) for _ in range(rng.randrange(300)))
+        fake = warc.MAGIC + noise + gzip.compress(b"WARC-less") + warc.MAGIC
+        stored = zlib.compressobj(0, zlib.DEFLATED, warc.GZIP)
+        data = record(i, "u", fake * 3, None, False)
+        blobs.append(stored.compress(data) + stored.flush() if i % 2 else member(data))
+    whole = b"".join(blobs)
+    for step in (37, 500, 4096, len(whole)):
+        pages = []
+        for start in range(0, len(whole), step):
+            file = pa.PythonFile(io.BytesIO(whole), mode="r")
+            found = records_in(file, len(whole), start, min(start + step, len(whole)))
+            pages += [parsed(r)["page_id"] for r in found]
+        assert pages == list(range(60))
+
+
+def test_a_changed_payload_is_an_error():
+    data = record(1, "u", b"payload", None, False)
+    with pytest.raises(ValueError):
+        parsed(data.replace(b"payload\r\n", b"pAyload\r\n"))
