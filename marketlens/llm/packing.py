@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -11,18 +13,23 @@ from pyspark.sql import DataFrame, functions as F
 
 from marketlens.llm.shared import Shared, numbered
 
-#: Characters that a task tokenises at once; words and their characters that it remembers.
+#: Characters that a task tokenises at once; words, their characters and stems that it remembers.
 TEXT_RUN = 1 << 20
 WORDS = 400_000
 WORD_CHARS = 1 << 23
+STEMS = 800_000
+#: Characters that never join a word of letters before them.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class WordTokens:
     """Token ids of whole texts, remembered word by word.
 
     For tokenizers whose tokens never reach across white space: cutting at a blank or
-    line break gives the ids of the whole text. The memory is bounded; a full one
-    starts afresh.
+    line break gives the ids of the whole text. The letters of a word go to the
+    tokenizer's model at once, without its normalisation and splitting, as far as each
+    letter by itself shows that these only fold case; marks behind them are a word of
+    their own. The memory is bounded; a full one starts afresh.
     """
 
     _of: dict[str, WordTokens] = {}
@@ -31,15 +38,37 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self._forget()
-        whole = self.tokenizer.encode("one two\nthree, four", add_special_tokens=False).ids
-        if self.encode(["one two\nthree, four"])[0] != np.array(whole, "<u4").tobytes():
+        self.stems: dict[str, bytes] = {}
+        self.letters = self._single_letters()
+        known = re.escape("".join(map(chr, self.letters)))
+        self.simple = re.compile(f"([{known}]+)([{re.escape(MARKS)}]*)" if known else "(?!)")
+        whole = self._whole(["one Two\nthree, Four."])
+        if self.encode(["one Two\nthree, Four."]) != whole:
             raise ValueError("the tokenizer keeps white space, so words depend on each other")
 
     def _forget(self) -> None:
         self.known: dict[str, bytes] = {"": b""}
         self.chars = 0
 
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(encoding.ids, "<u4").tobytes() for encoding in found]
+
+    def _of_letters(self, form: str) -> bytes:
+        ids = [token.id for token in self.model.tokenize(form)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _single_letters(self) -> dict[int, str]:
+        """What the model is given for the letters of one byte, capitals included."""
+        forms, split = {}, self.tokenizer.pre_tokenizer
+        for letter in filter(str.isalpha, map(chr, range(0x100))):
+            parts = split.pre_tokenize_str(letter.lower()) if split else []
+            if len(parts) == 1 and self._of_letters(parts[0][0]) == self._whole([letter])[0]:
+                forms[ord(letter)] = parts[0][0]
+        return forms
+
     @classmethod
     def load(cls, path: str) -> WordTokens:
         """One per worker process."""
@@ -54,11 +83,27 @@ class WordTokens:
             self._forget()
             new = list(words)
         self.chars += chars
-        for start in range(0, len(new), 4096):
-            part = new[start:start + 4096]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for word, encoding in zip(part, found):
-                self.known[word] = np.array(encoding.ids, "<u4").tobytes()
+        if len(self.stems) + len(new) > STEMS:
+            self.stems = {}
+        known, stems, rest = self.known, self.stems, []
+        for word in new:
+            parts = self.simple.fullmatch(word)
+            if parts is None:
+                rest.append(word)
+                continue
+            form, marks = parts[1].translate(self.letters), parts[2]
+            ids = stems.get(form)
+            if ids is None:
+                ids = stems[form] = self._of_letters(form)
+            if marks:
+                behind = known.get(marks)
+                if behind is None:
+                    behind = known[marks] = self._whole([marks])[0]
+                ids += behind
+            known[word] = ids
+        for start in range(0, len(rest), 4096):
+            part = rest[start:start + 4096]
+            self.known.update(zip(part, self._whole(part)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of every text."""

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 import __spark_entry__ as driver
@@ -71,6 +72,17 @@ def test_no_rows(spark):
     assert pack_documents(df, tokenizer_path()).collect() == []
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(
+    st.text(max_size=4), st.text(st.characters(max_codepoint=0x17F), max_size=6),
+    st.sampled_from(["<|endoftext|>", "'s", "don't", "&&&", "Don", "\u0301", "\u0345", "µªº", "Ÿ"]),
+), max_size=8).map("".join))
+def test_ids_are_those_of_whole_texts(text):
+    encoder = packing.WordTokens.load(tokenizer_path())
+    whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == whole
+
+
 def test_memory_is_bounded_and_harmless(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "WORDS", 20)
     encoder = packing.WordTokens(tokenizer_path())
