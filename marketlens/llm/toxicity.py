@@ -15,10 +15,15 @@ from pyspark.sql import DataFrame, functions as F
 #: Bounds of the labelled sample that the model is fitted on.
 SAMPLE_DOCS = 2000
 SAMPLE_CHARS = 20_000
-#: A word marks a toxic token from this log odds and this many different words before it.
+#: A word marks a toxic token from this log odds, this many different words before it, and
+#: if chance explains it with this probability at most, all words of the sample considered.
+#: Marginals up to the floor say nothing about a document, however long it is.
 LEAST_ODDS = 3.0
 LEAST_CONTEXTS = 5
-SLOTS = 1 << 16
+MOST_CONTEXTS = 64
+CHANCE = 0.05
+FLOOR = 0.2
+SLOTS = 1 << 20
 KNOWN_WORDS = 400_000
 STEPS = 40
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
@@ -111,6 +116,7 @@ class Model:
     @staticmethod
     def summaries(marginals: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Per document: 1, bits of evidence that any token is toxic (capped), expected number."""
+        marginals = np.maximum(marginals - FLOOR, 0) / (1 - FLOOR)
         any_ = -sums(np.log1p(-np.minimum(marginals, 1 - 1e-9)), lengths)
         return np.column_stack(
             [np.ones(len(lengths)), np.minimum(any_, 5.0), np.log1p(sums(marginals, lengths))]
@@ -123,21 +129,31 @@ class Model:
 def token_labels(texts: list[list[str]], toxic: list[int]) -> list[np.ndarray]:
     """Which tokens of toxic documents are toxic: words that clean documents lack.
 
-    A word needs several different words before it, so the text of one much copied
-    document does not count as many.
+    A document counts for a word only as far as the words before it differ, so the text
+    of one much copied document does not count as many.
     """
     seen, before = (Counter(), Counter()), defaultdict(set)
     for words, label in zip(texts, toxic):
         seen[label].update(set(words))
         if label:
             for last, word in zip(["", *words], words):
-                if len(before[word]) < LEAST_CONTEXTS:
+                if len(before[word]) < MOST_CONTEXTS:
                     before[word].add(last)
     n = [max(1, sum(1 for t in toxic if t == k)) for k in (0, 1)]
+    doubt = math.log(max(1, len(seen[1])) / CHANCE)
+
+    def telling(word: str, k: int) -> bool:
+        c = seen[0][word]
+        odds = math.log((k + 0.5) / n[1]) - math.log((c + 0.5) / n[0])
+        expected = (k + c) * n[1] / (n[0] + n[1])
+        surprise = k * math.log(k / expected)
+        if c:
+            surprise += c * math.log(c / (k + c - expected))
+        return odds >= LEAST_ODDS and surprise >= doubt
+
     marked = {
         w for w, k in seen[1].items()
-        if w and len(before[w]) >= LEAST_CONTEXTS
-        and math.log((k + 0.5) / n[1]) - math.log((seen[0][w] + 0.5) / n[0]) >= LEAST_ODDS
+        if w and len(before[w]) >= LEAST_CONTEXTS and telling(w, min(k, len(before[w])))
     }
     return [
         np.array([label and w in marked for w in words], bool)
@@ -179,8 +195,7 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
                           [t[1, 0] * alpha[at], t[1, 1] * alpha[at] * ahead]])
         expected = (joint / joint.sum(axis=(0, 1))).sum(axis=2)
         by_word = np.bincount(ids, weights=tags - p, minlength=len(number))
-        gradient = np.zeros(size)
-        np.add.at(gradient, slots, by_word[:, None] * scale)
+        gradient = np.bincount(slots.ravel(), np.repeat(by_word * scale, slots.shape[1]), size)
         gradient[SLOTS] = by_word.sum() * scale
         gradient[SLOTS + 1:] = ((gold - expected) * scale).ravel()
         gradient[:SLOTS] -= 1e-4 * model.weights
