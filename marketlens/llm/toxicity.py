@@ -164,7 +164,8 @@ def token_labels(texts: list[list[str]], toxic: list[int]) -> list[np.ndarray]:
 def fit(texts: list[str], toxic: list[int]) -> Model:
     """Conditional likelihood of the labelled tokens, then of the documents' labels."""
     model = Model()
-    words = [[plain(t) for t in text.split()] for text in texts]
+    once: dict[str, str] = {}
+    words = [[once.setdefault(w, w) for w in map(plain, text.split())] for text in texts]
     pairs = [(w, y) for w, y in zip(words, toxic) if w]
     words, toxic = [w for w, _ in pairs], [y for _, y in pairs]
     if len(set(toxic)) < 2:
@@ -173,7 +174,7 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     tags = np.concatenate(token_labels(words, toxic))
     lengths = np.array([len(w) for w in words])
     number: dict[str, int] = {}
-    ids = np.array([number.setdefault(w, len(number)) for doc in words for w in doc])
+    ids = np.fromiter((number.setdefault(w, len(number)) for doc in words for w in doc), np.int64)
     slots = np.array([features(w) for w in number])
     chains = Chains(lengths)
     ends = np.cumsum(lengths) - 1
@@ -191,9 +192,10 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
         alpha, beta = chains.forward(odds, t, 1.0), chains.backward(odds, t)
         p = alpha * beta / (1 + alpha * beta)
         ahead = odds[at + 1] * beta[at + 1]
-        joint = np.array([[t[0, 0] * np.ones(len(at)), t[0, 1] * ahead],
-                          [t[1, 0] * alpha[at], t[1, 1] * alpha[at] * ahead]])
-        expected = (joint / joint.sum(axis=(0, 1))).sum(axis=2)
+        behind = alpha[at]
+        joint = (t[0, 0], t[0, 1] * ahead, t[1, 0] * behind, t[1, 1] * behind * ahead)
+        total = joint[0] + joint[1] + joint[2] + joint[3]
+        expected = np.array([(part / total).sum() for part in joint]).reshape(2, 2)
         by_word = np.bincount(ids, weights=tags - p, minlength=len(number))
         gradient = np.bincount(slots.ravel(), np.repeat(by_word * scale, slots.shape[1]), size)
         gradient[SLOTS] = by_word.sum() * scale
