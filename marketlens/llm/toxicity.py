@@ -135,9 +135,10 @@ def token_labels(texts: list[list[str]], toxic: list[int]) -> list[np.ndarray]:
     seen, before = (Counter(), Counter()), defaultdict(set)
     for words, label in zip(texts, toxic):
         seen[label].update(set(words))
+    for words, label in zip(texts, toxic):
         if label:
             for last, word in zip(["", *words], words):
-                if len(before[word]) < MOST_CONTEXTS:
+                if seen[1][word] >= LEAST_CONTEXTS and len(before[word]) < MOST_CONTEXTS:
                     before[word].add(last)
     n = [max(1, sum(1 for t in toxic if t == k)) for k in (0, 1)]
     doubt = math.log(max(1, len(seen[1])) / CHANCE)
@@ -153,7 +154,7 @@ def token_labels(texts: list[list[str]], toxic: list[int]) -> list[np.ndarray]:
 
     marked = {
         w for w, k in seen[1].items()
-        if w and len(before[w]) >= LEAST_CONTEXTS and telling(w, min(k, len(before[w])))
+        if w and len(before.get(w, ())) >= LEAST_CONTEXTS and telling(w, min(k, len(before[w])))
     }
     return [
         np.array([label and w in marked for w in words], bool)
