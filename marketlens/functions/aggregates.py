@@ -42,22 +42,18 @@ def grid_point(value: ColumnLike, digits: int) -> Column:
     return F.floor(settled + 0.5)
 
 
-def exact_mean(value: ColumnLike, scale: int = 2, wide: bool = False) -> Column:
-    """Mean of amounts with ``scale`` decimals.
+def exact_mean(value: ColumnLike) -> Column:
+    """Mean that does not depend on the order of the rows.
 
     A sum of doubles depends on the order in which shuffle blocks arrive, and a
-    mean that falls on a rounding tie then flips between runs. Sums of integers do
-    not. A plain sum holds 10^12 rows of prices; ``wide`` sums millions and
-    remainder apart, for amounts up to 10^13 steps on as many rows.
+    mean that falls on a rounding tie then flips between runs. Sums of decimals do
+    not. Values or sums beyond 26 whole digits, infinities and NaN take the plain
+    average.
     """
-    steps = grid_point(value, scale)
-    if wide:
-        remainder = F.pmod(steps, F.lit(1_000_000))
-        millions = ((steps - remainder) / 1_000_000).cast("long")
-        total = F.sum(millions).cast("double") * 1e6 + F.sum(remainder)
-    else:
-        total = F.sum(steps)
-    return F.try_divide(total / 10**scale, F.count(as_column(value)))
+    value = as_column(value).cast("double")
+    amount = value.try_cast("decimal(38,12)")
+    exact = F.try_divide(F.try_sum(amount).cast("double"), F.count(value))
+    return F.coalesce(F.when(F.count(amount) == F.count(value), exact), F.avg(value))
 
 
 def distinct_values(column: ColumnLike) -> Column:

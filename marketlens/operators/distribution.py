@@ -51,7 +51,7 @@ def distribution_summary(
         quantiles = {}
     measures = {
         f"min_{suffix}": F.round(F.min(value), digits),
-        f"mean_{suffix}": F.round(exact_mean(value, digits), digits),
+        f"mean_{suffix}": F.round(exact_mean(value), digits),
         f"stddev_{suffix}": F.round(F.stddev(value), digits),
         f"max_{suffix}": F.round(F.max(value), digits),
         **quantiles,

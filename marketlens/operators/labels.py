@@ -138,8 +138,8 @@ def value_by_label(
             count_where(paid).alias("paid_games"),
             F.round(exact_mean(price), 2).alias("mean_price_usd"),
             F.round(exact_mean(paid_price), 2).alias("mean_price_paid"),
-            F.round(exact_mean(value, 3, wide=True) / 1e6, 2).alias("stock_value_musd"),
-            F.round(exact_mean(paid_value, 3, wide=True) / 1e6, 2).alias("stock_value_paid_musd"),
+            F.round(exact_mean(value) / 1e6, 2).alias("stock_value_musd"),
+            F.round(exact_mean(paid_value) / 1e6, 2).alias("stock_value_paid_musd"),
         )
         .filter(F.col(unit) >= min_rows)
         .orderBy(F.desc_nulls_last("stock_value_paid_musd"), label)

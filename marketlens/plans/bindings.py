@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -71,26 +70,18 @@ def bind(name: str, sql: str | None = None) -> Callable[[Build], Build]:
     return register
 
 
-# The study defines its frames once and asks them many questions. Only the lazy plan is
-# kept per session, no rows; the input tables are taken to be read-only.
-
-
-@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@lru_cache(maxsize=8)
 def raw_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_catalogue(table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem"))
 
 
-@lru_cache(maxsize=8)
 def games_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(raw_of(spark, sf_dir))
 
 
-@lru_cache(maxsize=8)
 def genre_facts_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return genre_facts(games_of(spark, sf_dir))
 
@@ -212,7 +203,8 @@ def _per_type(games: DataFrame) -> DataFrame:
 
 @bind("materialised_table", _PER_TYPE_SQL)
 def materialised_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _per_type(materialise(games_of(spark, sf_dir), "marketlens_games"))
+    narrow = games_of(spark, sf_dir).select("release_year", "is_free", "reviews")
+    return _per_type(materialise(narrow, "marketlens_games"))
 
 
 @bind("materialised_checkpoint", _PER_TYPE_SQL)
@@ -731,8 +723,8 @@ on_genres(
         f"""SELECT genre, COUNT(*) AS games, COUNT(*) FILTER (WHERE NOT is_free) AS paid_games,
   {rounded(mean("initial_price_usd"), 2)} AS mean_price_usd,
   {rounded(mean("initial_price_usd", where="NOT is_free"), 2)} AS mean_price_paid,
-  {rounded(mean("owners_x_price", 3) + " / 1e6", 2)} AS stock_value_musd,
-  {rounded(mean("owners_x_price", 3, "NOT is_free") + " / 1e6", 2)} AS stock_value_paid_musd
+  {rounded(mean("owners_x_price") + " / 1e6", 2)} AS stock_value_musd,
+  {rounded(mean("owners_x_price", "NOT is_free") + " / 1e6", 2)} AS stock_value_paid_musd
 FROM genre_rows GROUP BY genre HAVING COUNT(*) >= 150"""
     ),
 )
@@ -1072,8 +1064,8 @@ def event_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT c_mktsegment, COUNT(*) AS customers, COUNT(*) FILTER (WHERE paid) AS paid_games,
   {rounded(mean("c_acctbal"), 2)} AS mean_price_usd,
   {rounded(mean("c_acctbal", where="paid"), 2)} AS mean_price_paid,
-  {rounded(mean("stock", 3) + " / 1e6", 2)} AS stock_value_musd,
-  {rounded(mean("stock", 3, "paid") + " / 1e6", 2)} AS stock_value_paid_musd
+  {rounded(mean("stock") + " / 1e6", 2)} AS stock_value_musd,
+  {rounded(mean("stock", "paid") + " / 1e6", 2)} AS stock_value_paid_musd
 FROM c GROUP BY c_mktsegment HAVING COUNT(*) >= 10""",
 )
 def segment_value(spark: SparkSession, sf_dir: str) -> DataFrame:

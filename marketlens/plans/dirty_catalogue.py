@@ -59,7 +59,7 @@ def duckdb_sql() -> str:
 FROM part p LEFT JOIN (
   SELECT l_partkey, CAST(SUM(CASE WHEN l_returnflag <> 'R' THEN 1 ELSE 0 END) AS BIGINT) AS positive,
          CAST(SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS negative
-  FROM lineitem WHERE l_linenumber = 1 GROUP BY l_partkey) r ON r.l_partkey = p.p_partkey"""
+  FROM lineitem GROUP BY l_partkey) r ON r.l_partkey = p.p_partkey"""
 
 
 def dirty_catalogue(part: DataFrame, lineitem: DataFrame) -> DataFrame:
@@ -70,8 +70,7 @@ def dirty_catalogue(part: DataFrame, lineitem: DataFrame) -> DataFrame:
     """
     returned = F.col("l_returnflag") == "R"
     reviews = (
-        lineitem.filter("l_linenumber = 1")
-        .groupBy("l_partkey")
+        lineitem.groupBy("l_partkey")
         .agg(
             F.count_if(~returned).alias("positive"),
             F.count_if(returned).alias("negative"),

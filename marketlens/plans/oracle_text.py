@@ -10,13 +10,9 @@ def rounded(expression: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST({expression} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
-def mean(expression: str, scale: int = 2, where: str = "TRUE") -> str:
-    """Mean of amounts through an exact decimal sum."""
-    keep = f"FILTER (WHERE {where})"
-    return (
-        f"(CAST(SUM(CAST({expression} AS DECIMAL(20,{scale}))) {keep} AS DOUBLE)"
-        f" / NULLIF(COUNT({expression}) {keep}, 0))"
-    )
+def mean(expression: str, where: str = "TRUE") -> str:
+    """The average, summed with compensation so that the order of rows does not show."""
+    return f"favg(CAST({expression} AS DOUBLE)) FILTER (WHERE {where})"
 
 
 def any_tag(tags: list[str]) -> str:

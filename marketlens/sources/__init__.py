@@ -10,6 +10,7 @@ from marketlens.sources.json_catalogue import (
 from marketlens.sources.tables import (
     describe_schema,
     literal_rows,
+    discard,
     materialise,
     preview,
     row_count,
@@ -23,6 +24,7 @@ __all__ = [
     "describe_schema",
     "flatten_struct",
     "literal_rows",
+    "discard",
     "materialise",
     "preview",
     "read_catalogue",

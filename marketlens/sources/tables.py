@@ -2,34 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.
-
-    Only a session without ``spark.checkpoint.dir`` (a local test) gets a folder
-    of its own, which is then recorded in the session.
-    """
+    """The folder every executor can reach, as the session names it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="marketlens-")
-        spark.sparkContext.setCheckpointDir(folder)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return folder
 
 
 def materialise(df: DataFrame, name: str, how: str = "table") -> DataFrame:
     """Compute a frame that later steps re-read once, and return the stored form.
 
-    ``table`` overwrites a Parquet table (data and schema) in the shared folder:
-    it cuts lineage, survives lost executors and is what a cluster should use.
-    ``checkpoint`` does the same without a table name; ``cache`` keeps lineage and
-    recomputes lost blocks. A table cannot be overwritten by a frame that reads it.
+    ``table`` writes a Parquet table to the shared folder: it cuts lineage, survives
+    lost executors and is what a cluster should use. Every call has a table and a
+    folder of its own, ``name`` and a fresh suffix, so earlier results stay readable;
+    ``discard`` removes one. ``checkpoint`` does the same without a table name;
+    ``cache`` keeps lineage and recomputes lost blocks.
     """
     spark = df.sparkSession
     if how == "cache":
@@ -40,9 +34,24 @@ def materialise(df: DataFrame, name: str, how: str = "table") -> DataFrame:
         return df.checkpoint()
     if how != "table":
         raise ValueError(f"unknown way to materialise: {how}")
-    location = f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}/{name}"
-    df.write.mode("overwrite").format("parquet").option("path", location).saveAsTable(name)
-    return spark.table(name)
+    unique = f"{name}_{uuid.uuid4().hex}"
+    location = f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}/{unique}"
+    df.write.format("parquet").option("path", location).saveAsTable(unique)
+    stored = spark.table(unique)
+    stored.stored_as = (unique, location)
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Give up a stored frame: drop its table and files, or its cached blocks."""
+    spark = stored.sparkSession
+    if not hasattr(stored, "stored_as"):
+        stored.unpersist()
+        return
+    unique, location = stored.stored_as
+    spark.sql(f"DROP TABLE IF EXISTS {unique}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def preview(df: DataFrame, n: int = 1000) -> DataFrame:

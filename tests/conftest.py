@@ -1,6 +1,7 @@
 import os
 import sys
 
+import duckdb
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -30,7 +31,6 @@ def sf_dir():
 
 @pytest.fixture(scope="session")
 def duck(sf_dir):
-    duckdb = pytest.importorskip("duckdb")
     connection = duckdb.connect()
     connection.execute("SET TimeZone = 'UTC'")
     for name in TABLES:

@@ -20,6 +20,7 @@ from marketlens.sources import (
     describe_schema,
     flatten_struct,
     literal_rows,
+    discard,
     materialise,
     preview,
     read_catalogue,
@@ -165,10 +166,12 @@ def test_materialise(spark, how):
     assert sorted(rows_of(stored)) == sorted(rows_of(df))
 
 
-def test_materialise_replaces_data_and_schema(spark):
-    materialise(spark.range(10), "replaced")
-    stored = materialise(spark.range(3).withColumn("extra", F.lit("x")), "replaced")
-    assert stored.columns == ["id", "extra"] and stored.count() == 3
+def test_materialised_frames_of_one_name_live_side_by_side(spark):
+    first = materialise(spark.range(10), "same")
+    second = materialise(spark.range(3).withColumn("extra", F.lit("x")), "same")
+    assert first.count() == 10 and second.columns == ["id", "extra"] and second.count() == 3
+    discard(first)
+    assert not spark.catalog.tableExists(first.stored_as[0]) and second.count() == 3
 
 
 def test_materialise_writes_to_the_shared_folder(spark):
