@@ -21,6 +21,7 @@ BATCH_BYTES = 1 << 20
 HEADER_BYTES = 1 << 12
 ARCHIVE_BYTES = 1 << 28
 SPLIT_BYTES = 1 << 24
+MOST_TASKS = 20_000
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = (
@@ -183,7 +184,10 @@ def read_archives(
     ))
     splits = archives.filter("bytes > 0").select("path", "bytes", starts.alias("start"))
     splits = splits.withColumn("end", F.least(F.col("start") + split_bytes, F.col("bytes")))
-    return splits.repartition("path", "start").mapInArrow(batches, RECORD)
+    # Ranges are few bytes as rows and many as files: their number, not their size, makes tasks.
+    ranges = F.sum(F.ceil(F.col("bytes") / split_bytes))
+    tasks = max(1, min(MOST_TASKS, int(archives.agg(ranges).first()[0] or 0)))
+    return splits.repartition(tasks).mapInArrow(batches, RECORD)
 
 
 def write_archives(
