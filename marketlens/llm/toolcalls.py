@@ -95,10 +95,14 @@ def levels(shared: Shared, needs: DataFrame) -> DataFrame:
     """(conv, call, level) of every call in ``needs`` (conv, call, dep); level -1 in or behind
     a cycle. Calls without a row here have level 0.
 
-    Each round settles the calls whose dependencies are all settled and drops their rows,
-    so the work left shrinks; there are as many rounds as the longest chain has calls.
+    If no call depends on two others, paths double each round, so rounds grow with the
+    logarithm of the longest chain. Otherwise each round settles the calls whose
+    dependencies are all settled and drops their rows: as many rounds as the chain has calls.
     """
     waiting = shared.put(needs.distinct())
+    most = waiting.groupBy("conv", "call").count().agg(F.max("count"), F.count("*")).first()
+    if most[0] == 1:
+        return chain_levels(shared, waiting, most[1])
     settled, done, level = None, None, 0
     while True:
         calls = waiting.select("conv", "call").distinct()
@@ -122,6 +126,24 @@ def levels(shared: Shared, needs: DataFrame) -> DataFrame:
         waiting = following
 
 
+def chain_levels(shared: Shared, needs: DataFrame, calls: int) -> DataFrame:
+    """Levels of calls with one dependency each, by doubling the steps towards its root."""
+    state = shared.put(needs.select("conv", "call", F.col("dep").alias("up"),
+                                    F.lit(1).alias("level")))
+    for _ in range(calls.bit_length() + 1):
+        if state.filter("up is not null").isEmpty():
+            break
+        above = state.select(F.col("conv").alias("c"), F.col("call").alias("d"),
+                             F.col("up").alias("next"), F.col("level").alias("more"))
+        same = F.col("conv").eqNullSafe(F.col("c")) & (F.col("up") == F.col("d"))
+        state = shared.put(state.join(above, same, "left").select(
+            "conv", "call", F.col("next").alias("up"),
+            (F.col("level") + F.coalesce("more", F.lit(0))).alias("level"),
+        ))
+    level = F.when(F.col("up").isNull(), F.col("level")).otherwise(-1)
+    return state.select("conv", "call", level.alias("level"))
+
+
 def link_tool_calls(
     calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping]
 ) -> DataFrame:

@@ -80,6 +80,15 @@ def test_levels_are_longest_chains(spark, name):
     assert got == {a: of(a) for a, _ in edges}
 
 
+def test_levels_of_long_single_chains_and_cycles(spark):
+    rows = [("c", str(i + 1), str(i)) for i in range(300)] + [(None, "b", "a"), (None, "c", "b")]
+    rows += [("z", "x", "y"), ("z", "y", "x"), ("z", "w", "x")]
+    needs = spark.createDataFrame(rows, "conv string, call string, dep string")
+    got = {(r["conv"], r["call"]): r["level"] for r in levels(Shared(spark), needs).collect()}
+    expected = {("c", str(i + 1)): i + 1 for i in range(300)} | {(None, "b"): 1, (None, "c"): 2}
+    assert got == expected | {("z", k): -1 for k in "xyw"}
+
+
 @given(st.recursive(st.none() | st.booleans() | st.integers() | st.text() |
                     st.floats(allow_nan=False, allow_infinity=False),
                     lambda x: st.lists(x) | st.dictionaries(st.text(), x), max_leaves=8))
