@@ -6,7 +6,6 @@ from marketlens.functions.aggregates import (
     exact_mean,
     grid_point,
     pct_where,
-    point_quantile,
     pooled_ratio,
 )
 from marketlens.functions.bands import (
@@ -54,7 +53,6 @@ __all__ = [
     "parse_bracket",
     "parse_date_shapes",
     "pct_where",
-    "point_quantile",
     "pooled_ratio",
     "positive_ratio",
     "split_list",

@@ -10,6 +10,8 @@ from pyspark.sql import Column, functions as F
 
 from marketlens.functions.columns import ColumnLike, as_column
 
+NAN_POINT = (1 << 63) - 1
+
 
 def count_where(predicate: Column) -> Column:
     """Rows where the predicate holds; 0 (not NULL) on empty input."""
@@ -32,14 +34,23 @@ def grid_point(value: ColumnLike, digits: int) -> Column:
 
     ``F.round`` works on decimal text, which costs more than the rest of an
     aggregate. Shifting and flooring gives the same integer except next to a
-    rounding tie, so only those rows take the slow way.
+    rounding tie, so only those rows take the slow way. NaN is the last point of all,
+    ``NAN_POINT``, as NaN sorts last; other values stop at half of it.
     """
     value = as_column(value)
     steps = value * 10**digits
     tie_distance = F.abs(steps - F.floor(steps) - 0.5)
     near_tie = tie_distance < 1e-9 + F.abs(steps) * 4e-16
     settled = F.when(near_tie, F.round(value, digits) * 10**digits).otherwise(steps)
-    return F.floor(settled + 0.5)
+    last = NAN_POINT // 2
+    steep = F.when(settled >= float(last), last).otherwise(F.floor(settled + 0.5))
+    return F.when(F.isnan(value), NAN_POINT).otherwise(steep)
+
+
+def grid_value(point: ColumnLike, digits: int) -> Column:
+    """A grid point back on the scale of the measure."""
+    point = as_column(point)
+    return F.when(point == NAN_POINT, float("nan")).otherwise(point / 10**digits)
 
 
 def exact_mean(value: ColumnLike) -> Column:
@@ -61,15 +72,3 @@ def distinct_values(column: ColumnLike) -> Column:
     column = as_column(column)
     has_null = F.coalesce(F.max(column.isNull().cast("int")), F.lit(0))
     return F.count_distinct(column) + has_null
-
-
-def point_quantile(points: str, probability: float, digits: int) -> Column:
-    """Exact quantile of a column of grid points, back on the scale of the measure.
-
-    Rounding keeps order, so the quantile of the rounded values is the rounded
-    quantile. The state is one counter per distinct point: 101 for whole percents,
-    however many rows there are. Use ``percentile_approx`` for a measure without a
-    bound, and ``grouped_medians`` for many groups.
-    """
-    quantile = f"percentile_disc({probability}) WITHIN GROUP (ORDER BY {points})"
-    return F.expr(quantile) / 10**digits

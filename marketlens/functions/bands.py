@@ -55,10 +55,12 @@ class Bands:
 
 # The bands of the market study.
 PRICE_BANDS = Bands(
-    (5, 10, 20, 40), ("under $5", "$5-10", "$10-20", "$20-40", "$40+"), first="free"
+    (5, 10, 20, 40), ("under $5", "$5-10", "$10-20", "$20-40", "$40+"), first="free", missing="unknown"
 )
 GROUP_SIZE_BANDS = Bands((2, 6, 21), ("1 game", "2-5 games", "6-20 games", "21+ games"))
-LIST_LENGTH_BANDS = Bands((2, 5, 10, 15, 21), ("1", "2-4", "5-9", "10-14", "15-20", "21+"))
+LIST_LENGTH_BANDS = Bands(
+    (2, 5, 10, 15, 21), ("1", "2-4", "5-9", "10-14", "15-20", "21+"), missing="unknown"
+)
 REVIEW_BANDS = Bands(
     (10, 100, 1000, 10000), ("1-9", "10-99", "100-999", "1 000-9 999", "10 000+")
 )

@@ -29,7 +29,7 @@ def is_integer_text(text: ColumnLike) -> Column:
 
 def cents_to_units(cents: ColumnLike) -> Column:
     """Integer text of cents -> double amount."""
-    return as_column(cents).try_cast("int") / 100
+    return as_column(cents).try_cast("bigint") / 100
 
 
 def parse_date_shapes(text: ColumnLike, shapes: Sequence[tuple[str, str]] = DATE_SHAPES) -> Column:

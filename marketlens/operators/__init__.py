@@ -30,6 +30,7 @@ from marketlens.operators.groups import (
     keep_members,
     largest_groups,
     members_of_leaders,
+    with_total_row,
 )
 from marketlens.operators.labels import (
     explode_labels,
@@ -82,5 +83,6 @@ __all__ = [
     "top_k",
     "top_k_per_group",
     "value_by_label",
+    "with_total_row",
     "value_census",
 ]

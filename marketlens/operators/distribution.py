@@ -7,9 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from marketlens.functions.aggregates import (
     count_where,
     exact_mean,
-    grid_point,
     pct_where,
-    point_quantile,
 )
 from marketlens.functions.bands import Bands
 from marketlens.functions.columns import ColumnLike, as_column
@@ -30,40 +28,30 @@ def distribution_summary(
     *,
     suffix: str = "paid",
     digits: int = 2,
-    on_grid: bool = False,
     accuracy: int = 10000,
     ending: Column | None = None,
     ending_name: str = "pct_ends_99",
 ) -> DataFrame:
     """Min, median, mean, deviation, p90, p99, max and the share of a price ending.
 
-    The quantiles share one sketch, whose size ``accuracy`` bounds. ``on_grid`` makes
-    them exact by counting rounded values; use it when the measure has few distinct
-    ones, as list prices do.
+    The quantiles share one sketch. ``accuracy`` bounds its size and its rank error,
+    one row in ``accuracy``; they are exact while the frame has fewer rows than that.
     """
     names = {f"median_{suffix}": 0.5, "p90": 0.9, "p99": 0.99}
-    if on_grid:
-        df = df.withColumn("_point", grid_point(value, digits))
-        sketch = []
-        quantiles = {name: point_quantile("_point", p, digits) for name, p in names.items()}
-    else:
-        sketch = [F.percentile_approx(value, list(names.values()), accuracy).alias("_quantiles")]
-        quantiles = {}
     measures = {
         f"min_{suffix}": F.round(F.min(value), digits),
         f"mean_{suffix}": F.round(exact_mean(value), digits),
         f"stddev_{suffix}": F.round(F.stddev(value), digits),
         f"max_{suffix}": F.round(F.max(value), digits),
-        **quantiles,
+        "_quantiles": F.percentile_approx(value, list(names.values()), accuracy),
     }
     if ending is not None:
         measures[ending_name] = pct_where(ending)
-    summary = df.agg(*[measure.alias(name) for name, measure in measures.items()], *sketch)
-    if not on_grid:
-        found = F.col("_quantiles")
-        summary = summary.withColumns(
-            {name: F.round(found[i], digits) for i, name in enumerate(names)}
-        )
+    summary = df.agg(*[measure.alias(name) for name, measure in measures.items()])
+    found = F.col("_quantiles")
+    summary = summary.withColumns(
+        {name: F.round(found[i], digits) for i, name in enumerate(names)}
+    )
     order = [f"{name}_{suffix}" for name in ("min", "median", "mean", "stddev")]
     order += ["p90", "p99", f"max_{suffix}"]
     return summary.select(*order, *([] if ending is None else [ending_name]))
@@ -94,16 +82,19 @@ def band_shares(
     )
 
 
-def discount_summary(df: DataFrame, discount: str) -> DataFrame:
-    """Discounted rows, their share of all rows, mean and median discount, in one pass."""
+def discount_summary(df: DataFrame, discount: str, accuracy: int = 10000) -> DataFrame:
+    """Discounted rows, their share of all rows, mean and median discount, in one pass.
+
+    The median comes from a sketch whose size ``accuracy`` bounds; it is exact below
+    that many discounted rows.
+    """
     on_sale = F.col(discount) > 0
     depth = F.when(on_sale, F.col(discount))
     return df.select(depth.alias("depth")).agg(
         F.count("depth").alias("discounted_games"),
         F.round(F.try_divide(100 * F.count("depth"), F.count("*")), 1).alias("pct_of_catalogue"),
         F.round(F.avg("depth"), 1).alias("mean_discount"),
-        # Whole percents are a grid of 101 points already.
-        point_quantile("depth", 0.5, 0).cast("int").alias("median_discount"),
+        F.percentile_approx("depth", 0.5, accuracy).cast("int").alias("median_discount"),
     )
 
 

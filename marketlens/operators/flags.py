@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from marketlens.functions.aggregates import count_where, pct_where
-from marketlens.operators.ranking import few_rows
 
 
 def flag_reach(df: DataFrame, flags: Sequence[str], unit: str = "games") -> DataFrame:
@@ -20,7 +19,7 @@ def flag_reach(df: DataFrame, flags: Sequence[str], unit: str = "games") -> Data
 def flag_combinations(df: DataFrame, flags: Sequence[str], unit: str = "games") -> DataFrame:
     """Rows per combination of flags, most frequent first; k flags give 3^k rows at most."""
     combinations = df.groupBy(*flags).agg(F.count("*").alias(unit))
-    return few_rows(combinations).orderBy(F.desc(unit), *flags)
+    return combinations.orderBy(F.desc(unit), *flags)
 
 
 def flag_rate_by_label(

@@ -90,6 +90,19 @@ def members_of_leaders(df: DataFrame, leaders: DataFrame, key: str) -> DataFrame
     return df.join(F.broadcast(leaders), key)
 
 
+def with_total_row(
+    counts: DataFrame, label: str, unit: str = "games", total: str = "all"
+) -> DataFrame:
+    """Counts per label followed by their sum, the columns matched by name.
+
+    Both halves read the same aggregate, whose exchange Spark reuses.
+    """
+    whole = counts.agg(
+        F.coalesce(F.sum(unit), F.lit(0)).alias(unit), F.lit(total).alias(label)
+    )
+    return counts.select(label, unit).unionByName(whole)
+
+
 def favourite_labels(
     rows: DataFrame,
     key: str,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from marketlens.functions.aggregates import grid_point
+from marketlens.functions.aggregates import grid_point, grid_value
 
 
 def grouped_medians(
@@ -19,7 +19,8 @@ def grouped_medians(
 
     ``populations`` maps the name of a count to the name of its median and the
     population's predicate (None for all rows). The median is the lower one,
-    rounded to ``digits``; NULL values count as rows but not for the median.
+    rounded to ``digits``; NULL values count as rows but not for the median, and NaN
+    sorts last.
 
     Rows first collapse to one per (key, rounded value) in a hash aggregate, with
     map-side combining: a ratio on three digits leaves 1,001 rows per key however
@@ -45,6 +46,6 @@ def grouped_medians(
     for name, (median, _) in populations.items():
         reached = F.col(f"_upto_{name}") >= F.ceil(F.col(f"_all_{name}") / 2)
         middle = F.min(F.when(reached & (F.col(f"_all_{name}") > 0), F.col("_point")))
-        measures.append((middle / 10**digits).alias(median))
+        measures.append(grid_value(middle, digits).alias(median))
     # The window left the rows partitioned by key: no further shuffle.
     return histogram.withColumns(running).groupBy(key).agg(*measures)

@@ -41,6 +41,7 @@ from marketlens.sources import (
     audit_inferred_keys,
     describe_schema,
     flatten_struct,
+    literal_rows,
     materialise,
     preview,
     read_catalogue,
@@ -59,6 +60,9 @@ class Binding:
 
 BINDINGS: dict[str, Binding] = {}
 
+#: Sketches of this accuracy are exact below as many rows, so that the oracle can restate them.
+EXACT = 1_000_000
+
 
 def bind(name: str, sql: str | None = None) -> Callable[[Build], Build]:
     def register(build: Build) -> Build:
@@ -437,10 +441,21 @@ on_raw(
                             " regexp_matches(initialprice, '^-?\\d+$') OR NOT"
                             " regexp_matches(discount, '^-?\\d+$')",
                         ),
+                        (
+                            "2.2   price strings -> USD",
+                            "out of range -> NULL",
+                            "games WHERE regexp_matches(price, '^-?\\d+$')"
+                            " AND TRY_CAST(price AS BIGINT) IS NULL",
+                        ),
                         (
                             "2.3   release_date -> date",
                             "source empty -> NULL",
-                            "games WHERE release_date_parsed IS NULL",
+                            "games WHERE release_date = ''",
+                        ),
+                        (
+                            "2.3   release_date -> date",
+                            "unreadable -> NULL",
+                            "games WHERE release_date <> '' AND release_date_parsed IS NULL",
                         ),
                         (
                             "2.4a  genre -> array",
@@ -534,8 +549,7 @@ on_games(
 )
 on_games(
     "price_summary",
-    # The derived prices are a few dozen price points, so exact quantiles stay small.
-    lambda games: study.price_summary(games, on_grid=True),
+    lambda games: study.price_summary(games, accuracy=EXACT),
     over_games(
         f"""SELECT {rounded("MIN(price_usd)", 2)} AS min_paid,
   {rounded("quantile_disc(price_usd, 0.5)", 2)} AS median_paid,
@@ -544,11 +558,11 @@ on_games(
   {rounded("quantile_disc(price_usd, 0.9)", 2)} AS p90,
   {rounded("quantile_disc(price_usd, 0.99)", 2)} AS p99,
   {rounded("MAX(price_usd)", 2)} AS max_paid,
-  {rounded("100 * AVG(CAST(TRY_CAST(price AS INTEGER) % 100 = 99 AS INTEGER))", 1)} AS pct_ends_99
+  {rounded("100 * AVG(CAST(TRY_CAST(price AS BIGINT) % 100 = 99 AS INTEGER))", 1)} AS pct_ends_99
 FROM games WHERE NOT is_free"""
     ),
 )
-_PRICE_BAND = banded("price_usd", PRICE_BANDS.edges, PRICE_BANDS.labels, ("is_free", "free"))
+_PRICE_BAND = banded("price_usd", PRICE_BANDS.edges, PRICE_BANDS.labels, ("is_free", "free"), "unknown")
 on_games(
     "price_bands",
     study.price_bands,
@@ -592,7 +606,7 @@ on_games(
     "language_counts",
     study.language_counts,
     over_games(
-        f"""SELECT {banded("n_languages", LIST_LENGTH_BANDS.edges, LIST_LENGTH_BANDS.labels)} AS languages,
+        f"""SELECT {banded("n_languages", LIST_LENGTH_BANDS.edges, LIST_LENGTH_BANDS.labels, missing="unknown")} AS languages,
   COUNT(*) AS games, {rounded("100 * COUNT(*) / (SELECT COUNT(*) FROM games)", 1)} AS pct_games
 FROM games GROUP BY 1"""
     ),
@@ -920,14 +934,49 @@ FROM lineitem""",
 )
 def quantity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    return ops.distribution_summary(lines, "l_quantity", suffix="qty", on_grid=True)
+    return ops.distribution_summary(lines, "l_quantity", suffix="qty", accuracy=EXACT)
 
 
-@bind("order_price_summary")
+@bind(
+    "order_price_summary",
+    f"""SELECT {rounded("MIN(o_totalprice)", 2)} AS min_price,
+  {rounded("quantile_disc(o_totalprice, 0.5)", 2)} AS median_price,
+  {rounded(mean("o_totalprice"), 2)} AS mean_price,
+  {rounded("stddev_samp(o_totalprice)", 2)} AS stddev_price,
+  {rounded("quantile_disc(o_totalprice, 0.9)", 2)} AS p90,
+  {rounded("quantile_disc(o_totalprice, 0.99)", 2)} AS p99,
+  {rounded("MAX(o_totalprice)", 2)} AS max_price FROM orders""",
+)
 def order_price_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quantiles of an unbounded measure come from a sketch, which SQL cannot restate."""
     orders = table(spark, sf_dir, "orders")
-    return ops.distribution_summary(orders, "o_totalprice", suffix="price")
+    return ops.distribution_summary(orders, "o_totalprice", suffix="price", accuracy=EXACT)
+
+
+#: How urgent each order priority is; a small dimension that no table holds.
+PRIORITY_CLASSES = (
+    ("1-URGENT", "rush"), ("2-HIGH", "rush"), ("3-MEDIUM", "normal"),
+    ("4-NOT SPECIFIED", "normal"), ("5-LOW", "normal"),
+)
+_CLASS_SQL = f"""WITH counts AS (SELECT class, COUNT(*) AS orders FROM orders JOIN (VALUES
+  {", ".join(str(row) for row in PRIORITY_CLASSES)}) c(o_orderpriority, class)
+  USING (o_orderpriority) GROUP BY class) """
+
+
+@bind("priority_classes", _CLASS_SQL + "SELECT class, orders FROM counts")
+def priority_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per class of a literal dimension; counted before they meet it."""
+    classes = literal_rows(spark, PRIORITY_CLASSES, ["o_orderpriority", "class"])
+    orders = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+    return orders.join(classes, "o_orderpriority").groupBy("class").agg(F.sum("n").alias("orders"))
+
+
+@bind(
+    "priority_class_totals",
+    _CLASS_SQL + """SELECT class, orders FROM counts
+UNION ALL SELECT 'all', CAST(SUM(orders) AS BIGINT) FROM counts""",
+)
+def priority_class_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.with_total_row(priority_classes(spark, sf_dir), "class", "orders")
 
 
 @bind(

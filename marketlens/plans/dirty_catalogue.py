@@ -31,14 +31,15 @@ COLUMNS = {
         ELSE '10,000,000 .. 20,000,000' END""",
     "initialprice": """CAST(CASE WHEN p.p_partkey % 10 = 0 THEN 0
         ELSE (p.p_size * 100 - 1) END AS {STR})""",
-    "price": """CAST(CASE WHEN p.p_partkey % 10 = 0 THEN 0 WHEN p.p_partkey % 20 = 1 THEN (p.p_size * 50)
-        ELSE (p.p_size * 100 - 1) END AS {STR})""",
+    "price": """CASE WHEN p.p_partkey % 200 = 57 THEN '99999999999999999999'
+        WHEN p.p_partkey % 200 = 58 THEN 'n/a' ELSE CAST(CASE WHEN p.p_partkey % 10 = 0 THEN 0 WHEN p.p_partkey % 20 = 1
+        THEN (p.p_size * 50) ELSE (p.p_size * 100 - 1) END AS {STR}) END""",
     "discount": "CASE WHEN p.p_partkey % 20 = 1 THEN '50' ELSE '0' END",
-    "release_date": """CASE p.p_partkey % 4
+    "release_date": """CASE WHEN p.p_partkey % 100 = 12 THEN '2020/06/31' ELSE CASE p.p_partkey % 4
         WHEN 0 THEN concat(CAST(2014 + p.p_size % 9 AS {STR}), '/06/18')
         WHEN 1 THEN concat(CAST(2014 + p.p_size % 9 AS {STR}), '/10/8')
         WHEN 2 THEN concat(CAST(2014 + p.p_size % 9 AS {STR}), '/0', CAST(1 + p.p_size % 9 AS {STR}))
-        ELSE '' END""",
+        ELSE '' END END""",
     "required_age": """CASE p.p_partkey % 40 WHEN 0 THEN '180' WHEN 1 THEN 'MA 15+'
         WHEN 2 THEN '21+' WHEN 3 THEN '16' ELSE '0' END""",
     "windows": "(p.p_partkey % 500 <> 0)",

@@ -47,9 +47,9 @@ _CLEANED = f"""cleaned AS (
   FROM (
     SELECT *, {_deduped("genre_pieces")} AS genres, {_deduped("language_pieces")} AS languages_list
     FROM (
-      SELECT *, TRY_CAST(price AS INTEGER) / 100 AS price_usd,
-        TRY_CAST(initialprice AS INTEGER) / 100 AS initial_price_usd,
-        TRY_CAST(discount AS INTEGER) AS discount_pct, TRY_CAST(price AS INTEGER) = 0 AS is_free,
+      SELECT *, TRY_CAST(price AS BIGINT) / 100 AS price_usd,
+        TRY_CAST(initialprice AS BIGINT) / 100 AS initial_price_usd,
+        TRY_CAST(discount AS INTEGER) AS discount_pct, TRY_CAST(price AS BIGINT) = 0 AS is_free,
         CASE WHEN regexp_matches(release_date, '^\\d{{4}}/\\d{{1,2}}/\\d{{1,2}}$')
                THEN CAST(try_strptime(release_date, '%Y/%m/%d') AS DATE)
              WHEN regexp_matches(release_date, '^\\d{{4}}/\\d{{1,2}}$')
@@ -85,8 +85,13 @@ def over_games_and(ctes: str, body: str) -> str:
     return over_games(f", {ctes} {body}")
 
 
-def banded(value: str, edges: tuple, labels: tuple, first: tuple[str, str] | None = None) -> str:
-    """CASE text of a banding; NULL falls into the last band."""
+def banded(
+    value: str, edges: tuple, labels: tuple, first: tuple[str, str] | None = None,
+    missing: str | None = None,
+) -> str:
+    """CASE text of a banding; NULL falls into ``missing``, or else into the last band."""
     head = f"WHEN {first[0]} THEN '{first[1]}' " if first else ""
     body = " ".join(f"WHEN {value} < {edge} THEN '{text}'" for edge, text in zip(edges, labels))
+    if missing is not None:
+        head += f"WHEN {value} IS NULL THEN '{missing}' "
     return f"CASE {head}{body} ELSE '{labels[-1]}' END"

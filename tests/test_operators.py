@@ -212,6 +212,31 @@ def test_grouped_medians_edges(spark):
     assert result["c"] == (1, 0, 0.5, 0.5, None)
 
 
+def test_nan_sorts_last_in_medians(spark):
+    nan = float("nan")
+    rows = [("a", 0.5), ("a", 1.0), ("a", nan), ("b", nan), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    found = {r["k"]: r["med"] for r in ops.grouped_medians(df, "k", "v", 3, {"n": ("med", None)}).collect()}
+    assert found["a"] == 1.0
+    assert found["c"] is None
+    assert math.isnan(found["b"])
+
+
+@pytest.mark.parametrize("p", [(0.5, "median_paid"), (0.9, "p90"), (0.99, "p99")])
+def test_quantiles_are_exact_below_the_accuracy(spark, p):
+    draw = random.Random(11)
+    values = [draw.random() * 1e9 for _ in range(3001)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(5)
+    exact = sorted(values)[math.ceil(p[0] * len(values)) - 1]
+    assert ops.distribution_summary(df, "v").first()[p[1]] == pytest.approx(round(exact, 2))
+
+
+def test_total_row(spark):
+    counts = spark.createDataFrame([("x", 2), ("y", 3)], "k string, n long")
+    assert sorted(rows_of(ops.with_total_row(counts, "k", "n"))) == [("all", 5), ("x", 2), ("y", 3)]
+    assert rows_of(ops.with_total_row(counts.limit(0), "k", "n")) == [("all", 0)]
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 10, 101, 1000])
 def test_grouped_median_of_a_hot_group(spark, size):
     draw = random.Random(size)
@@ -321,10 +346,9 @@ def test_discount_summary_of_an_empty_catalogue(df):
     assert rows_of(ops.discount_summary(empty, "off")) == [(0, None, None, None)]
 
 
-@pytest.mark.parametrize("on_grid", [True, False])
-def test_distribution_summary(catalogue, df, on_grid):
+def test_distribution_summary(catalogue, df):
     paid = sorted(e["price"] for e in catalogue if not e["free"])
-    row = ops.distribution_summary(df.filter(~F.col("free")), "price", on_grid=on_grid).first()
+    row = ops.distribution_summary(df.filter(~F.col("free")), "price").first()
     n = len(paid)
     mean = sum(round(100 * p) for p in paid) / 100 / n
     deviation = math.sqrt(sum((p - mean) ** 2 for p in paid) / (n - 1))

@@ -13,7 +13,7 @@ from marketlens.plans.bindings import BINDINGS  # noqa: E402
 
 QUERIES = {name: build for name, build in driver.queries().items() if name in BINDINGS}
 ORACLE = {name: sql for name, sql in driver.oracle_sql().items() if name in BINDINGS}
-WITHOUT_ORACLE = {"order_price_summary"}
+WITHOUT_ORACLE: set[str] = set()
 TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
@@ -144,7 +144,7 @@ def test_one_scan_per_report(spark, sf_dir, name):
 
 @pytest.mark.parametrize(
     "name",
-    ["price_bands", "discounts_by_band", "age_group_flags", "quantity_bands", "platform_combinations"],
+    ["price_bands", "discounts_by_band", "age_group_flags", "quantity_bands"],
 )
 def test_band_reports_shuffle_once(spark, sf_dir, name):
     assert plan_of(spark, sf_dir, name).count("Exchange ") == 1

@@ -140,7 +140,9 @@ def test_flags_and_report_from_json(spark, array_file):
     flagged = with_age_flags(clean(raw)).select("appid", "age_gated", "mature").orderBy("appid")
     assert rows_of(flagged) == [(1, False, True), (2, False, False), (3, False, False)]
     report = [(row["rows_in"], row["n"]) for row in catalogue_cleaning_report(with_cleaned_columns(raw)).collect()]
-    assert report == [(3, 1), (3, 0), (3, 0), (3, 1), (3, 0), (3, 3), (3, 0), (3, 1), (3, 1)]
+    assert report == [
+        (3, n) for n in (1, 0, 0, 0, 0, 1, 0, 3, 0, 1, 1)
+    ]
 
 
 def test_round_trip_through_array_files(spark, sf_dir, tmp_path):
