@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import isqrt
+from math import acos, cos, isqrt, pi
 
 import numpy as np
 import pandas as pd
@@ -14,6 +14,9 @@ from marketlens.llm.shared import Shared, work_units
 #: Bounded sample of reference points, nearest of them that describe a vector.
 MOST_PIVOTS = 1024
 PREFIX = 8
+#: Reference points stand this many times the angle of a link apart, so that a dense group
+#: supplies one or two of them and its members agree on the rest.
+SPACING = 1.7
 #: Rows of an inverted list that a task holds, pairs that it checks at once.
 LIST = 2048
 STRIP = 512
@@ -27,6 +30,16 @@ def fitted(points: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def spaced(points: np.ndarray, cosine: float) -> np.ndarray:
+    """Unit points in order, without those closer than ``SPACING`` links to one kept before."""
+    most = cos(min(SPACING * acos(min(1.0, max(-1.0, cosine))), pi / 2))
+    kept: list[int] = []
+    for i, point in enumerate(points):
+        if not kept or (points[kept] @ point).max() < most:
+            kept.append(i)
+    return points[kept]
+
+
 def nearest(vectors: np.ndarray, points: np.ndarray, prefix: int) -> np.ndarray:
     """Numbers of the ``prefix`` nearest reference points, nearest first."""
     closeness = vectors @ fitted(points, vectors.shape[1]).T
@@ -100,8 +113,10 @@ def embedding_groups(
     """(vec_id, n_links, component_id, kept) per row of ``vectors``.
 
     Equal vectors of a label collapse first. Reference points are the first by hash of
-    twice the square root of the number of distinct vectors, 16 to ``most_pivots``; they
-    are the only sample, every vector is indexed. A vector is described by its ``prefix``
+    twice the square root of the number of distinct vectors, 16 to ``most_pivots``, less
+    those close to one before; they are the only sample, every vector is indexed. Where
+    nearly all vectors are close to one another few points are left and lists are long:
+    that costs comparisons, not links. A vector is described by its ``prefix``
     nearest points in order and stands in the inverted list of each, per label. Vectors
     that share ``shared_pivots`` points are compared in double precision. A list of more
     than ``list_rows`` is compared piece by piece, so hot lists lose nothing and no task
@@ -138,6 +153,7 @@ def embedding_groups(
     points = np.zeros((len(sample), max(map(len, sample), default=1)))
     for i, p in enumerate(sample):
         points[i, :len(p)] = unit(pd.Series([p]), len(p))[0]
+    points = spaced(points, cosine)
 
     def describe(stream):
         for part in stream:
@@ -148,7 +164,7 @@ def embedding_groups(
     kind = ", ".join(f"{n} {t}" for n, t in nodes.drop("least").dtypes)
     told = nodes.drop("least").mapInPandas(describe, f"{kind}, pivots array<int>, width int")
     lists = shared.put(told.withColumn("pivot", F.explode("pivots")))
-    fits = min(shared_pivots, max(1, len(sample)))
+    fits = min(shared_pivots, max(1, len(points)))
     found = shared.put(
         work_units(lists, ["label", "pivot", "width"], "node", list_rows, 4 * list_rows)
         .groupBy("unit", "lo", "hi")

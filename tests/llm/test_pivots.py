@@ -74,6 +74,34 @@ def test_recall_against_brute_force(spark):
     assert all(n <= most[v] for v, n, _, _ in got)
 
 
+def dense(n, dims=64, seed=5):
+    """A third of the rows around one centre, near the threshold; the rest at random, in pairs."""
+    rng = np.random.default_rng(seed)
+    centre, pairs = rng.normal(size=dims), n // 3
+    centre /= np.linalg.norm(centre)
+    group = centre + rng.normal(size=(n - 2 * pairs, dims)) * 0.25 / dims**0.5
+    rest = rng.normal(size=(pairs, dims))
+    twins = rest + rng.normal(size=rest.shape) * 0.25 * rng.random((pairs, 1))
+    return rng.permutation(np.vstack([group, rest, twins]).astype(np.float32))
+
+
+def recall(spark, n):
+    """Share of the links of brute force, and no row may have more than it."""
+    v = dense(n)
+    df = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(v)], SCHEMA.split(", node")[0])
+    got = {r["vec_id"]: r["n_links"] for r in embedding_groups(df).collect()}
+    unit = v.astype(float)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    there = [int((unit[i] @ unit.T >= 0.93).sum()) - 1 for i in range(n)]
+    assert len(got) == n and all(got[i] <= there[i] for i in range(n))
+    return sum(got.values()) / sum(there)
+
+
+@pytest.mark.parametrize("n", [300, 3000, 20_000])
+def test_recall_with_a_third_of_the_rows_in_one_dense_group(spark, n):
+    assert recall(spark, n) >= 0.95
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
