@@ -21,6 +21,8 @@ SPACING = 1.7
 LIST = 2048
 STRIP = 512
 PAIRS = 1 << 17
+#: Above this share of candidates a strip's cosines are worked out in one product.
+MANY = 1 / 16
 
 
 def fitted(points: np.ndarray, width: int) -> np.ndarray:
@@ -57,28 +59,38 @@ def list_links(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Links found in one inverted list, as (number of links, local root) of its rows.
 
-    Pairs share enough pivots and reach the cosine; a pair is counted only in the list
-    of its smallest common pivot. With rows of side 1, pairs are taken across.
+    The score of a pair is the number of its common pivots, and one more if the same
+    pivot is the nearest of both. The cosine is worked out where the score is enough; a
+    pair is counted only in the list of its smallest common pivot. With rows of side 1,
+    pairs are taken across.
     """
     n, width = len(rows), len(rows["vector"].iloc[0])
     v, weight = unit(rows["vector"], width), rows["copies"].to_numpy()
     described = np.array(rows["pivots"].tolist())
     local, place = np.unique(described, return_inverse=True)
     marks = np.zeros((n, len(local)), np.float32)
-    marks[np.repeat(np.arange(n), described.shape[1]), place.ravel()] = 1
+    place = place.reshape(described.shape)
+    np.put_along_axis(marks, place, 1, axis=1)
+    first = place[:, 0]
     split = int(np.searchsorted(rows["side"].to_numpy(), 1))
     across = bool(rows["lo"].iloc[0] < rows["hi"].iloc[0])
     right = np.arange(split, n) if across else np.arange(n)
     links, parent = np.zeros(n, np.int64), np.arange(n)
     for low in range(0, split, STRIP):
         left = np.arange(low, min(split, low + STRIP))
-        candidate = marks[left] @ marks[right].T >= least_shared
-        hit = candidate & (v[left] @ v[right].T >= least)
+        score = marks[left] @ marks[right].T + (first[left][:, None] == first[right])
+        hit = score >= least_shared
+        many = np.count_nonzero(hit) > MANY * hit.size
+        if many:
+            hit &= v[left] @ v[right].T >= least
         a, b = np.nonzero(hit)
         a, b = left[a], right[b]
         a, b = (a, b) if across else (a[a < b], b[a < b])
         for at in range(0, len(a), PAIRS):
             i, j = a[at:at + PAIRS], b[at:at + PAIRS]
+            if not many:
+                close = np.einsum("ij,ij->i", v[i], v[j]) >= least
+                i, j = i[close], j[close]
             both = marks[i] * marks[j] > 0
             own = local[both.argmax(axis=1)] == pivot
             i, j = i[own], j[own]
@@ -118,7 +130,8 @@ def embedding_groups(
     nearly all vectors are close to one another few points are left and lists are long:
     that costs comparisons, not links. A vector is described by its ``prefix``
     nearest points in order and stands in the inverted list of each, per label. Vectors
-    that share ``shared_pivots`` points are compared in double precision. A list of more
+    that share ``shared_pivots`` points are compared in double precision; the nearest
+    point of both counts twice. A list of more
     than ``list_rows`` is compared piece by piece, so hot lists lose nothing and no task
     holds more than two pieces; tasks return sums and spanning links, never pairs.
 
@@ -158,7 +171,7 @@ def embedding_groups(
     def describe(stream):
         for part in stream:
             for width, same in part.groupby(part["vector"].map(len)):
-                pivots = np.sort(nearest(unit(same["vector"], width), points, prefix), axis=1)
+                pivots = nearest(unit(same["vector"], width), points, prefix)
                 yield same.assign(pivots=list(pivots), width=np.int32(width))
 
     kind = ", ".join(f"{n} {t}" for n, t in nodes.drop("least").dtypes)

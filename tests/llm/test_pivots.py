@@ -1,10 +1,11 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from test_components import plain_components
 
-from marketlens.llm.pivots import embedding_groups
+from marketlens.llm.pivots import embedding_groups, list_links
 
 SCHEMA = "vec_id long, embedding array<float>, label int, node string, copies int"
 
@@ -102,6 +103,16 @@ def test_recall_with_a_third_of_the_rows_in_one_dense_group(spark, n):
     assert recall(spark, n) >= 0.95
 
 
+def test_the_nearest_pivot_of_both_counts_twice():
+    """All four are links; rows 2 and 3 share one pivot with row 0, nearest of both for row 2 only."""
+    rows = pd.DataFrame({
+        "vector": [[1.0, 0.0], [1.0, 0.1], [1.0, 0.2], [1.0, 0.3]], "copies": 1, "side": 0,
+        "pivots": [[4, 1, 2], [2, 1, 4], [4, 5, 6], [7, 4, 8]], "lo": -1, "hi": -1,
+    })
+    links = {pivot: list_links(rows, pivot, 0.9, 2)[0].tolist() for pivot in (1, 2, 4)}
+    assert links == {1: [1, 1, 0, 0], 2: [0, 0, 0, 0], 4: [1, 0, 1, 0]}
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
