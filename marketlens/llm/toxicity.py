@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -15,12 +15,14 @@ from pyspark.sql import DataFrame, functions as F
 #: Bounds of the labelled sample that the model is fitted on.
 SAMPLE_DOCS = 2000
 SAMPLE_CHARS = 20_000
-#: A word marks a toxic token from this log odds, this many different words before it, and
-#: if chance explains it with this probability at most, all words of the sample considered.
+#: A word marks a toxic token from this log odds, this many different words at one of the
+#: places around it, and if chance explains it with this probability at most, all words of
+#: the sample considered.
 #: Marginals up to the floor say nothing about a document, however long it is.
 LEAST_ODDS = 3.0
 LEAST_CONTEXTS = 5
 MOST_CONTEXTS = 64
+PLACES = (-2, -1, 1, 2)
 CHANCE = 0.05
 FLOOR = 0.2
 SLOTS = 1 << 20
@@ -129,17 +131,14 @@ class Model:
 def token_labels(texts: list[list[str]], toxic: list[int]) -> list[np.ndarray]:
     """Which tokens of toxic documents are toxic: words that clean documents lack.
 
-    A document counts for a word only as far as the words before it differ, so the text
-    of one much copied document does not count as many.
+    A document counts for a word only as far as the words at one place near it differ, so
+    the text of one much copied document does not count as many. The place that differs
+    most decides: phrases of four words, first and last words keep theirs. A word that
+    only copies of one text hold cannot be told from the words around it.
     """
-    seen, before = (Counter(), Counter()), defaultdict(set)
+    seen = (Counter(), Counter())
     for words, label in zip(texts, toxic):
         seen[label].update(set(words))
-    for words, label in zip(texts, toxic):
-        if label:
-            for last, word in zip(["", *words], words):
-                if seen[1][word] >= LEAST_CONTEXTS and len(before[word]) < MOST_CONTEXTS:
-                    before[word].add(last)
     n = [max(1, sum(1 for t in toxic if t == k)) for k in (0, 1)]
     doubt = math.log(max(1, len(seen[1])) / CHANCE)
 
@@ -152,9 +151,21 @@ def token_labels(texts: list[list[str]], toxic: list[int]) -> list[np.ndarray]:
             surprise += c * math.log(c / (k + c - expected))
         return odds >= LEAST_ODDS and surprise >= doubt
 
+    # Fewer documents tell less, so the contexts of other words need not be remembered.
+    near = {
+        w: [set() for _ in PLACES] for w, k in seen[1].items()
+        if w and k >= LEAST_CONTEXTS and telling(w, k)
+    }
+    for words, label in zip(texts, toxic):
+        if label:
+            for i, word in enumerate(words):
+                for place, others in zip(PLACES, near.get(word, ())):
+                    if len(others) < MOST_CONTEXTS:
+                        others.add(words[i + place] if 0 <= i + place < len(words) else "")
+    contexts = {w: max(map(len, places)) for w, places in near.items()}
     marked = {
-        w for w, k in seen[1].items()
-        if w and len(before.get(w, ())) >= LEAST_CONTEXTS and telling(w, min(k, len(before[w])))
+        w for w, k in contexts.items()
+        if k >= LEAST_CONTEXTS and telling(w, min(k, seen[1][w]))
     }
     return [
         np.array([label and w in marked for w in words], bool)

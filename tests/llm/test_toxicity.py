@@ -7,7 +7,9 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as driver
-from marketlens.llm.toxicity import Model, drop_toxic, score_toxicity, token_spans, train
+from marketlens.llm.toxicity import (
+    Model, drop_toxic, fit, score_toxicity, token_labels, token_spans, train,
+)
 
 
 def plain_marginals(emissions, t):
@@ -99,3 +101,45 @@ def test_query_on_the_held_out_fold(spark, sf_dir):
     known = [r for r in rows if r["doc_id"] in labels]
     clean = [r["predicted"] for r in known if not labels[r["doc_id"]]]
     assert sum(clean) <= 0.02 * len(clean)
+
+
+@pytest.mark.parametrize("phrase", ["you vile", "vile", "you utter vile scum"])
+def test_fixed_phrases_and_first_words_mark_tokens(phrase):
+    """The insult always follows the same word, or starts its documents."""
+    rng = random.Random(1)
+    common = [f"word{i}" for i in range(300)] + ["you", "utter"]
+    texts, toxic = [], []
+    for i in range(400):
+        words, bad = rng.sample(common, 30), i % 4 == 0
+        at = 0 if phrase == "vile" else rng.randrange(30)
+        texts.append(words[:at] + phrase.split() * bad + words[at:])
+        toxic.append(int(bad))
+    tags = token_labels(texts, toxic)
+    assert all("vile" in np.array(t)[tag] for t, tag, y in zip(texts, tags, toxic) if y)
+    model = fit([" ".join(t) for t in texts], toxic)
+    emissions = np.array([model.emission(w) for t in texts for w in t])
+    lengths = np.array([len(t) for t in texts])
+    scores = model.scores(model.marginals(emissions, lengths), lengths)
+    assert [int(s >= 0.5) for s in scores] == toxic
+
+
+def test_copies_of_one_toxic_text_mark_nothing():
+    rng = random.Random(2)
+    clean = [[f"word{rng.randrange(300)}" for _ in range(30)] for _ in range(200)]
+    copy = [f"other{i}" for i in range(30)]
+    tags = token_labels(clean + [copy] * 60, [0] * 200 + [1] * 60)
+    assert not any(t.any() for t in tags)
+
+
+def test_query_recall_on_the_held_out_fold(spark, sf_dir):
+    """Nearly all toxic documents with an insult, most of the others: those hold no such word."""
+    folder = f"{sf_dir}/../sf0.1"
+    rows = driver.queries()["op6_toxicity"](spark, folder).select("doc_id", "held_out", "predicted")
+    given = spark.read.parquet(f"{folder}/labels.parquet").filter("toxic = 1").select("doc_id")
+    insult = "(?i)clown|disgusting|idiot|loser|moron|pathetic|scum|stupid|trash|worthless"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    told = docs.select("doc_id", docs["text"].rlike(insult).alias("insult"))
+    found = rows.filter("held_out").join(given.distinct(), "doc_id").join(told, "doc_id").collect()
+    plain = [r["predicted"] for r in found if r["insult"]]
+    assert len(plain) >= 50 and sum(plain) >= 0.95 * len(plain)
+    assert sum(r["predicted"] for r in found) >= 0.8 * len(found)
