@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from marketlens.llm.divergence import audit_sources
+from marketlens.llm.hardnegatives import mine_hard_negatives
+from marketlens.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES, block_step, find_licenses, split
 from marketlens.llm.linededup import drop_repeated_lines
 from marketlens.llm.mixing import mix_sources
 from marketlens.llm.packing import pack_documents
@@ -137,6 +140,20 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(table(spark, sf_dir, "documents"), min_docs=30, top=50)
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licenses(table(spark, sf_dir, "documents")).drop("blocks")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 OP1_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
@@ -221,6 +238,141 @@ SELECT v.vec_id, coalesce(degree.n, 0) AS n_links, component_id, v.vec_id = comp
 FROM v JOIN component USING (r) LEFT JOIN degree USING (r)
 """
 
+#: Terms of every row, in lower case; ``words`` is also what the license scan cuts texts into.
+WORDS_SQL = r"""
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-%s\x5B-\x60\x7B-\x7F]+')
+"""
+
+OP11_SQL = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         {WORDS_SQL % r"@"} AS words
+  FROM documents
+), terms AS (
+  SELECT r, lang, source, unnest(words) AS term FROM docs
+), vocabulary AS (
+  SELECT lang, term FROM terms GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM terms JOIN vocabulary USING (lang, term)
+  GROUP BY lang, source, term
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), sizes AS (
+  SELECT lang, count(*) AS v FROM vocabulary GROUP BY lang
+), of_source AS (
+  SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source
+), of_lang AS (
+  SELECT lang, term, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS total
+  FROM counts GROUP BY lang, term
+), p AS (
+  SELECT g.lang, g.source, w.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000 * (coalesce(c.n, 0) + 5)::HUGEINT)
+             // (coalesce(t.total, 0) + 5 * s.v)::HUGEINT AS p
+  FROM groups g JOIN vocabulary w USING (lang) JOIN sizes s USING (lang)
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = w.term
+  LEFT JOIN of_source t ON t.lang = g.lang AND t.source = g.source
+), q AS (
+  SELECT lang, term,
+         1 + (1000000000 * (n + 5)::HUGEINT) // (total + 5 * v)::HUGEINT AS q
+  FROM of_lang JOIN sizes USING (lang)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  WHERE x.term IS NULL OR y.term IS NOT NULL
+  GROUP BY a.lang, a.source, b.source
+), above AS (
+  SELECT p.lang, p.source, p.term AS item, p.p - q.q AS value
+  FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE p.n > 0 AND p.p > q.q
+), parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', item, value FROM above
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r
+  FROM parts
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR r <= 50
+"""
+
+
+def text_list(words: list[bytes]) -> str:
+    return "[" + ", ".join(f"'{w.decode()}'" for w in words) + "]"
+
+
+def op12_sql() -> str:
+    """Base places and, for every length of block, all blocks against all templates."""
+    places = " || ".join(
+        f"list_filter(places, lambda p: words[p + 1:p + {len(split(text))}] = "
+        f"{text_list(split(text))})" for text, _ in PHRASES
+    )
+    named = " || ".join(
+        f"CASE WHEN len(list_filter(places, lambda p: words[p + 1:p + {len(split(text))}] = "
+        f"{text_list(split(text))})) > 0 THEN ['{label}'] ELSE CAST([] AS VARCHAR[]) END"
+        for text, label in PHRASES
+    )
+    templates = ", ".join(
+        f"('{label}', {block_step(len(split(text)))}, {text_list(sorted(set(split(text))))})"
+        for label, text in TEMPLATES
+    )
+    return rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL % r"/:-@"} AS words FROM documents
+), placed AS (
+  SELECT *, range(len(words)) AS places FROM docs
+), base AS (
+  SELECT r, doc_id, words, {places} AS places, {named} AS base FROM placed
+), templates(label, step, tokens) AS (
+  VALUES {templates}
+), blocks AS (
+  SELECT r, step, list_distinct(words[start + 1:start + 2 * step]) AS block
+  FROM (SELECT r, words, step, unnest(range(0, len(words), step)) AS start
+        FROM docs, (SELECT DISTINCT step FROM templates))
+), found AS (
+  SELECT r, label, len(list_intersect(block, tokens)) / len(tokens) AS share
+  FROM blocks JOIN templates USING (step)
+), best AS (
+  SELECT r, list(DISTINCT label) AS labels, max(share) AS score FROM found
+  WHERE share >= {CONTAINMENT} GROUP BY r
+)
+SELECT doc_id, len(words) AS n_words, len(places) AS n_base, list_min(places) AS first_word,
+       list_max(places) AS last_word, array_to_string(list_sort(list_distinct(base)), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(base || coalesce(labels, CAST([] AS VARCHAR[])))), ',') AS labels,
+       CASE WHEN len(places) > 0 THEN 1.0::DOUBLE ELSE coalesce(score, 0.0::DOUBLE) END AS score
+FROM base LEFT JOIN best USING (r)
+"""
+
+
+OP13_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT r, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS place
+  FROM scored WHERE same
+), windows AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY r, place ORDER BY score DESC, vec_id) AS n
+  FROM positives JOIN scored USING (r)
+  WHERE place <= 5 AND NOT same
+    AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(n AS INTEGER) AS rank, negative_id, positive_score,
+       negative_score
+FROM windows WHERE n <= 5
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_secrets": op2_secrets,
@@ -232,9 +384,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tool_calls": op8_tool_calls,
     "op9_line_dedup": op9_line_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_divergence": op11_divergence,
+    "op12_licenses": op12_licenses,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_topk": OP1_SQL, "op4_warc": OP4_SQL, "op9_line_dedup": OP9_SQL,
-    "op10_embedding_dedup": OP10_SQL,
+    "op10_embedding_dedup": OP10_SQL, "op11_divergence": OP11_SQL, "op12_licenses": op12_sql(),
+    "op13_hard_negatives": OP13_SQL,
 }

@@ -1,0 +1,119 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from marketlens.llm.hardnegatives import Search, Space, mine_hard_negatives
+
+SCHEMA = "vec_id long, embedding array<double>, label int, cell string, width int, n long"
+COLUMNS = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+
+
+def brute(rows, every, k=5, scale=256):
+    def whole(v):
+        if v is None or any(x is None or not math.isfinite(x) for x in v):
+            return None
+        return [math.floor(scale * x) for x in v]
+
+    fine = [(i, whole(v), l) for i, v, l in rows
+            if i is not None and l is not None and whole(v) is not None]
+    out = []
+    for q, a, own in fine:
+        if q % every:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(a, b)), c, l) for c, b, l in fine
+                        if c != q and len(a) == len(b))
+        for s, p, _ in [r for r in scored if r[2] == own][:k]:
+            hard = [r for r in scored if r[2] != own and -80 * s <= -100 * r[0] <= -100 * s][:k]
+            out += [(q, p, i + 1, c, -s, -t) for i, (t, c, _) in enumerate(hard)]
+    return sorted(out)
+
+
+def run(spark, rows, every=3, partitions=4, **options):
+    df = spark.createDataFrame([(*r, "c", 3, 4) for r in rows], SCHEMA).repartition(partitions)
+    got = mine_hard_negatives(df, F.col("vec_id") % every == 0, **options)
+    assert got.columns == COLUMNS
+    return sorted(tuple(r) for r in got.collect())
+
+
+def clustered(n, width=6, centres=12, seed=5):
+    random = np.random.default_rng(seed)
+    middle = random.normal(size=(centres, width))
+    v = middle[random.integers(0, centres, n)] + 0.15 * random.normal(size=(n, width))
+    return [(i, x.tolist(), int(random.integers(0, 4))) for i, x in enumerate(v)]
+
+
+@pytest.mark.parametrize("options", [
+    {}, {"cells": 5, "fanout": 3, "leaf": 4, "tree": 50}, {"leaf": 2, "tree": 7, "batch_bytes": 900},
+])
+def test_matches_brute_force(spark, options):
+    rows = clustered(400)
+    assert run(spark, rows, **options) == brute(rows, 3)
+
+
+def test_unequal_norms(spark):
+    rows = [(i, [x * (1 + i % 9) for x in v], l) for i, v, l in clustered(300)]
+    assert run(spark, rows, leaf=8, tree=64) == brute(rows, 3)
+
+
+def test_a_third_of_the_rows_are_one_vector(spark):
+    rows = [(i, [0.5, 0.25, -0.5] if i % 3 else v[:3], l) for i, v, l in clustered(300)]
+    assert run(spark, rows, every=10, leaf=8, tree=40) == brute(rows, 10)
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    rows = [(i, [1.0, 0.5], i % 3) for i in range(60)]
+    assert run(spark, rows, every=5, leaf=4, tree=9) == brute(rows, 5)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [0.1, -0.1], 1), (1, [0.9, 0.2], 1), (2, None, 1), (3, [None, 1.0], 1),
+            (4, [nan, 1.0], 2), (5, [inf, 0.0], 1), (6, [1.0], 1), (7, [2.0], 1), (8, [], 1),
+            (9, [], 2), (None, [1.0, 1.0], 2), (10, [0.8, 0.2], None), (11, [0.8, 0.2], 2),
+            (12, [-1.0, 0.0], 3), (13, [], 1), (14, [1.75], 5), (15, [0.0], 7)]
+    assert run(spark, rows) == brute(rows, 3)
+    assert run(spark, rows, every=1) == brute(rows, 1)
+
+
+def test_repeated_rows(spark):
+    rows = [(0, [1.0], 1), (0, [1.0], 1), (1, [2.0], 1), (2, [1.9], 2), (2, [1.9], 2)]
+    assert run(spark, rows) == brute(rows, 3)
+    assert len(run(spark, rows)) == 4
+
+
+@pytest.mark.parametrize("size", [1e5, 1e12])
+def test_large_components_stay_exact(spark, size):
+    rows = [(i, [size * x for x in v], l) for i, v, l in clustered(40, width=3)]
+    limit = 2**63
+    expected = brute(rows, 3)
+    if size < 1e9:
+        assert run(spark, rows, leaf=4) == expected
+    else:
+        assert all(abs(r[4]) < limit and abs(r[5]) < limit for r in run(spark, rows, leaf=4))
+
+
+def test_no_rows(spark):
+    assert run(spark, []) == []
+    assert run(spark, [(1, [1.0], 1)]) == []
+    assert run(spark, [(3, [1.0], 1)]) == []
+    assert run(spark, [(3, [1.0], 1), (4, [1.0], 2)]) == []
+
+
+def test_ranges_rule_most_rows_out():
+    rows = clustered(4000, width=8, centres=40)
+    v = np.floor(256 * np.array([r[1] for r in rows])).astype(np.int64)
+    ids, labels = np.arange(len(v)), np.array([r[2] for r in rows])
+    space = Space(float(np.sqrt((v * v).sum(axis=1).max())), True)
+    asked = np.arange(0, 4000, 100)
+    shape = (len(asked), 1)
+    search = Search(space, ids[asked], labels[asked], v[asked],
+                    np.full(shape, np.iinfo(np.int64).min), np.full(shape, np.iinfo(np.int64).max),
+                    True, 5)
+    search.walk(np.arange(len(asked)), ids, labels, v, 8, 32)
+    assert search.visited < 0.35 * len(asked) * len(v)
+    for a, q in enumerate(asked):
+        own = [i for i in range(len(v)) if labels[i] == labels[q] and i != q]
+        best = sorted(own, key=lambda i: (-int(v[q] @ v[i]), i))[:5]
+        assert search.found[a].tolist() == best
