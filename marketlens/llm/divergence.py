@@ -19,7 +19,9 @@ SMOOTH = 5
 #: Entries a task counts before it hands them on.
 HELD = 500_000
 #: Terms whose columns are encoded together.
-BLOCK = 16_384
+BLOCK = 2048
+#: Sources whose counts order the blocks; within a block all do.
+LEADING = 2
 
 
 def count_terms(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,11 +100,13 @@ def audit_block(terms: pd.DataFrame, sizes: pd.DataFrame, top: int) -> pd.DataFr
     row = sizes.iloc[0]
     names, totals = list(row["sources"]), [int(n) for n in row["totals"]]
     kept, size = int(row["kept"]), len(terms)
-    terms = terms.sort_values("position")
-    held = [len(v) for v in terms["counts"]]
+    entries = [[(e["source"], e["n"]) for e in v] for v in terms["counts"]]
+    order = sorted(range(size), key=entries.__getitem__)
+    terms, entries = terms.iloc[order], [entries[i] for i in order]
+    held = list(map(len, entries))
     place = np.repeat(np.arange(size), held)
-    source = np.array([e["source"] for v in terms["counts"] for e in v], np.int64)
-    count = np.array([e["n"] for v in terms["counts"] for e in v], np.int64)
+    source = np.array([e[0] for v in entries for e in v], np.int64)
+    count = np.array([e[1] for v in entries for e in v], np.int64)
     spelled = terms["term"].to_numpy()
     whole = shares(terms["total"].to_numpy(), int(row["total"]), kept) if size else None
     out, columns = [], []
@@ -138,7 +142,7 @@ def audit_sources(
 
     Rows are counted in their tasks, so a hot source is summed before it is shuffled. Terms
     are ordered by their counts in all sources: equal ones stand together, and each
-    source's column is a few runs of equal counts. A task takes a block of such columns,
+    source's column is a few runs of equal counts. A task takes a block of ``block`` terms,
     cuts two columns at the run ends of both and multiplies each piece's difference by its
     length. All arithmetic is on integers, so results are exact.
 
@@ -166,7 +170,8 @@ def audit_sources(
             .alias("counts"),
         ).filter(F.col("docs") >= min_docs).drop("docs")
     )
-    order = [F.col(c) for c in ("lang", "counts", "term")]
+    # The ends of ranges go through the driver, so they hold no whole list of counts.
+    order = [F.col("lang"), F.slice("counts", 1, LEADING), F.xxhash64("counts"), F.col("term")]
     ordered = shared.put(numbered(shared, vocabulary, order, "position").withColumn(
         "block", F.floor(F.col("position") / block)))
 
