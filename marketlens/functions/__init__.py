@@ -28,6 +28,7 @@ from marketlens.functions.cleaning import (
     split_list,
 )
 from marketlens.functions.labels import AGE_GATED_TAGS, MATURE_TAGS, has_any_label
+from marketlens.functions.ordering import order_key
 from marketlens.functions.scoring import positive_ratio, value_proxy, wilson_lower_bound
 
 __all__ = [
@@ -49,6 +50,7 @@ __all__ = [
     "is_integer_text",
     "json_to_map",
     "normalise_name",
+    "order_key",
     "parse_bounded_int",
     "parse_bracket",
     "parse_date_shapes",

@@ -42,6 +42,7 @@ from marketlens.operators.labels import (
     value_by_label,
 )
 from marketlens.operators.medians import grouped_medians
+from marketlens.operators.quantiles import exact_quantiles
 from marketlens.operators.ranking import best_rated, top_k, top_k_per_group
 
 __all__ = [
@@ -57,6 +58,7 @@ __all__ = [
     "date_coverage",
     "discount_summary",
     "distribution_summary",
+    "exact_quantiles",
     "explode_labels",
     "favourite_labels",
     "flag_combinations",

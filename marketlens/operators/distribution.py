@@ -11,6 +11,7 @@ from marketlens.functions.aggregates import (
 )
 from marketlens.functions.bands import Bands
 from marketlens.functions.columns import ColumnLike, as_column
+from marketlens.operators.quantiles import exact_quantiles
 from marketlens.operators.ranking import few_rows
 
 
@@ -28,14 +29,13 @@ def distribution_summary(
     *,
     suffix: str = "paid",
     digits: int = 2,
-    accuracy: int = 10000,
     ending: Column | None = None,
     ending_name: str = "pct_ends_99",
 ) -> DataFrame:
     """Min, median, mean, deviation, p90, p99, max and the share of a price ending.
 
-    The quantiles share one sketch. ``accuracy`` bounds its size and its rank error,
-    one row in ``accuracy``; they are exact while the frame has fewer rows than that.
+    The quantiles are exact at any number of rows: values of the frame, selected together
+    in passes of their own over this one column.
     """
     names = {f"median_{suffix}": 0.5, "p90": 0.9, "p99": 0.99}
     measures = {
@@ -43,14 +43,13 @@ def distribution_summary(
         f"mean_{suffix}": F.round(exact_mean(value), digits),
         f"stddev_{suffix}": F.round(F.stddev(value), digits),
         f"max_{suffix}": F.round(F.max(value), digits),
-        "_quantiles": F.percentile_approx(value, list(names.values()), accuracy),
     }
     if ending is not None:
         measures[ending_name] = pct_where(ending)
     summary = df.agg(*[measure.alias(name) for name, measure in measures.items()])
-    found = F.col("_quantiles")
+    summary = summary.withColumn("_found", exact_quantiles(df, value, list(names.values())))
     summary = summary.withColumns(
-        {name: F.round(found[i], digits) for i, name in enumerate(names)}
+        {name: F.round(F.col("_found")[i], digits) for i, name in enumerate(names)}
     )
     order = [f"{name}_{suffix}" for name in ("min", "median", "mean", "stddev")]
     order += ["p90", "p99", f"max_{suffix}"]
@@ -82,20 +81,19 @@ def band_shares(
     )
 
 
-def discount_summary(df: DataFrame, discount: str, accuracy: int = 10000) -> DataFrame:
-    """Discounted rows, their share of all rows, mean and median discount, in one pass.
+def discount_summary(df: DataFrame, discount: str) -> DataFrame:
+    """Discounted rows, their share of all rows, mean and median discount.
 
-    The median comes from a sketch whose size ``accuracy`` bounds; it is exact below
-    that many discounted rows.
+    The median is exact at any number of rows.
     """
     on_sale = F.col(discount) > 0
-    depth = F.when(on_sale, F.col(discount))
-    return df.select(depth.alias("depth")).agg(
+    depths = df.select(F.when(on_sale, F.col(discount)).alias("depth"))
+    median = exact_quantiles(depths, "depth", [0.5])[0]
+    return depths.agg(
         F.count("depth").alias("discounted_games"),
         F.round(F.try_divide(100 * F.count("depth"), F.count("*")), 1).alias("pct_of_catalogue"),
         F.round(F.avg("depth"), 1).alias("mean_discount"),
-        F.percentile_approx("depth", 0.5, accuracy).cast("int").alias("median_discount"),
-    )
+    ).withColumn("median_discount", median.cast("int"))
 
 
 def conditional_rate_by_band(

@@ -60,9 +60,6 @@ class Binding:
 
 BINDINGS: dict[str, Binding] = {}
 
-#: Sketches of this accuracy are exact below as many rows, so that the oracle can restate them.
-EXACT = 1_000_000
-
 
 def bind(name: str, sql: str | None = None) -> Callable[[Build], Build]:
     def register(build: Build) -> Build:
@@ -549,7 +546,7 @@ on_games(
 )
 on_games(
     "price_summary",
-    lambda games: study.price_summary(games, accuracy=EXACT),
+    study.price_summary,
     over_games(
         f"""SELECT {rounded("MIN(price_usd)", 2)} AS min_paid,
   {rounded("quantile_disc(price_usd, 0.5)", 2)} AS median_paid,
@@ -934,7 +931,7 @@ FROM lineitem""",
 )
 def quantity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    return ops.distribution_summary(lines, "l_quantity", suffix="qty", accuracy=EXACT)
+    return ops.distribution_summary(lines, "l_quantity", suffix="qty")
 
 
 @bind(
@@ -949,7 +946,7 @@ def quantity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def order_price_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    return ops.distribution_summary(orders, "o_totalprice", suffix="price", accuracy=EXACT)
+    return ops.distribution_summary(orders, "o_totalprice", suffix="price")
 
 
 #: How urgent each order priority is; a small dimension that no table holds.

@@ -129,10 +129,10 @@ def releases_per_month(games: DataFrame, first: int = 2014, last: int = 2021) ->
     return ops.calendar_counts(games, "release_month", within=complete)
 
 
-def price_summary(games: DataFrame, accuracy: int = 10000) -> DataFrame:
+def price_summary(games: DataFrame) -> DataFrame:
     paid = games.filter(~F.col("is_free"))
     ends_99 = F.col("price").try_cast("bigint") % 100 == 99
-    return ops.distribution_summary(paid, "price_usd", ending=ends_99, accuracy=accuracy)
+    return ops.distribution_summary(paid, "price_usd", ending=ends_99)
 
 
 def price_bands(games: DataFrame) -> DataFrame:
