@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marketlens.functions.aggregates import count_where, exact_mean
 from marketlens.functions.columns import ColumnLike
-from marketlens.operators.medians import grouped_medians
+from marketlens.operators.medians import RATIO, grouped_medians
 from marketlens.operators.ranking import top_k
 
 
@@ -112,7 +112,7 @@ def median_vs_pooled(
     votes = {"_positive": positive, "_negative": negative}
     pooled = F.try_divide("_positive", F.col("_positive") + F.col("_negative"))
     return (
-        grouped_medians(rows, label, ratio, 3, populations, votes)
+        grouped_medians(rows, label, ratio, 3, populations, votes, span=RATIO)
         .filter(F.col(unit) >= min_rows)
         .orderBy(F.desc_nulls_last("median_positive_ratio"), label)
         .select(label, unit, "median_positive_ratio", F.round(pooled, 3).alias("pooled_ratio"))

@@ -1163,6 +1163,24 @@ def customer_cohort_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@bind(
+    "order_price_medians",
+    f"""SELECT o_orderpriority, COUNT(*) AS orders,
+  {rounded("quantile_disc(o_totalprice, 0.5)", 2)} AS median_price,
+  COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS finished_orders,
+  {rounded("quantile_disc(o_totalprice, 0.5) FILTER (WHERE o_orderstatus = 'F')", 2)} AS finished_median
+FROM orders GROUP BY 1""",
+)
+def order_price_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians of a wide measure: nearly every order has a price of its own."""
+    finished = F.col("o_orderstatus") == "F"
+    populations = {"orders": ("median_price", None), "finished_orders": ("finished_median", finished)}
+    medians = ops.grouped_medians(
+        table(spark, sf_dir, "orders"), "o_orderpriority", "o_totalprice", 2, populations)
+    return medians.select(
+        "o_orderpriority", "orders", "median_price", "finished_orders", "finished_median")
+
+
 @bind(
     "best_rated_sources",
     f"""WITH v AS (SELECT source, COUNT(*) FILTER (WHERE quality = 1) AS good,

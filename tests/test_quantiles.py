@@ -94,3 +94,61 @@ def test_only_neighbours_share_a_key(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     held = df.distinct().groupBy(order_key("v").alias("k")).agg(F.min("v"), F.max("v")).collect()
     assert all(r[2] - r[1] <= 4 * math.ulp(r[1]) for r in held)
+
+
+def lower_median(values):
+    known = sorted((v for v in values if v is not None), key=lambda v: (math.isnan(v), v))
+    return known[math.ceil(len(known) / 2) - 1] if known else None
+
+
+@pytest.mark.parametrize("span", [None, (0.0, 1.0)])
+def test_medians_per_group_at_any_width(spark, span):
+    draw = random.Random(9)
+    values = {
+        "wide": [draw.choice([-1, 1]) * 10 ** draw.uniform(-3, 12) for _ in range(700)],
+        "narrow": [draw.random() for _ in range(301)], "one": [5.0], "none": [None, None],
+        "odd": [math.nan, None, 2.0, math.nan, math.nan], None: [1.5, 2.5, None],
+        "huge": [1e300, -1e300, 1e300, 0.0],
+    }
+    rows = [(k, v, i % 3 == 0) for k, some in values.items() for i, v in enumerate(some)]
+    df = spark.createDataFrame(rows, "k string, v double, m boolean").repartition(6)
+    populations = {"n": ("median", None), "m_n": ("m_median", F.col("m"))}
+    got = ops.grouped_medians(df, "k", "v", 2, populations, span=span)
+    assert got.columns == ["k", "n", "m_n", "median", "m_median"]
+    found = {r["k"]: r for r in got.collect()}
+    assert set(found) == set(values)
+    for k, some in values.items():
+        thirds = [v for i, v in enumerate(some) if i % 3 == 0]
+        assert (found[k]["n"], found[k]["m_n"]) == (len(some), len(thirds))
+        if k == "huge":
+            continue
+        for name, part in (("median", some), ("m_median", thirds)):
+            want = lower_median(part)
+            assert same(found[k][name], want) or found[k][name] == pytest.approx(want, abs=0.0051)
+    assert found["huge"]["median"] == 0.0
+
+
+def test_one_group_of_a_million_values(spark):
+    n = 1_000_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("g"), (F.col("id") / 10 % 50).cast("int")))
+        .otherwise("hot").alias("k"), (F.col("id") * 7919 % n * 1000 / 8).alias("v"))
+    hot = sorted(i * 7919 % n * 125.0 for i in range(n) if i % 10)
+    row = ops.grouped_medians(df, "k", "v", 3, {"n": ("median", None)}).filter("k = 'hot'").first()
+    assert (row["n"], row["median"]) == (len(hot), hot[math.ceil(len(hot) / 2) - 1])
+
+
+def test_windows_of_wide_medians_are_short(spark, monkeypatch):
+    from marketlens.operators import medians
+
+    longest, below = [], medians._below
+
+    def watched(level, wanted, top):
+        rows = below(level, wanted, top)
+        longest.append(rows.groupBy("_key", "_population").count().agg(F.max("count")).first()[0])
+        return rows
+
+    monkeypatch.setattr(medians, "_below", watched)
+    df = spark.range(200_000).select(F.lit("hot").alias("k"), (F.col("id") / 8).alias("v"))
+    ops.grouped_medians(df, "k", "v", 3, {"n": ("median", None)})
+    assert len(longest) == 5 and 1000 < max(longest) <= 1 << medians.LEVEL_BITS
