@@ -42,6 +42,13 @@ from marketlens.operators.labels import (
     value_by_label,
 )
 from marketlens.operators.medians import grouped_medians
+from marketlens.operators.objects import (
+    inferred_fields,
+    key_census,
+    open_object,
+    typed_parts,
+    value_type,
+)
 from marketlens.operators.quantiles import exact_quantiles
 from marketlens.operators.ranking import best_rated, top_k, top_k_per_group
 
@@ -67,8 +74,10 @@ __all__ = [
     "flag_reach",
     "group_sizes",
     "grouped_medians",
+    "inferred_fields",
     "keep_members",
     "key_audit",
+    "key_census",
     "label_prevalence",
     "label_shelf",
     "largest_groups",
@@ -76,6 +85,7 @@ __all__ = [
     "members_of_leaders",
     "mix_shift",
     "open_map",
+    "open_object",
     "perfect_score_count",
     "perfect_score_examples",
     "price_facts",
@@ -84,7 +94,9 @@ __all__ = [
     "threshold_counts",
     "top_k",
     "top_k_per_group",
+    "typed_parts",
     "value_by_label",
     "with_total_row",
     "value_census",
+    "value_type",
 ]

@@ -15,7 +15,6 @@ from marketlens.functions import (
     REVIEW_BANDS,
     Bands,
     has_any_label,
-    json_to_map,
     positive_ratio,
     wilson_lower_bound,
 )
@@ -45,6 +44,7 @@ from marketlens.sources import (
     materialise,
     preview,
     read_catalogue,
+    read_json_array,
     row_count,
     shared_folder,
 )
@@ -147,10 +147,10 @@ def json_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @bind("json_array_scan", _SCANNED_SQL)
 def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same records as array files of bounded size, read as multi-line JSON."""
+    """The same records as array files, each of them split among tasks."""
     path = scratch(spark, "json-arrays")
     write_json_arrays(nested_records(raw_of(spark, sf_dir)), path, key="data.appid")
-    return scanned(read_catalogue(spark, path, recursiveFileLookup="true"))
+    return scanned(read_json_array(spark, path, recursiveFileLookup="true"))
 
 
 @bind(
@@ -1099,8 +1099,58 @@ def event_flag_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
  WHERE json_extract(props, '$.k') IS NOT NULL ORDER BY amount DESC, event_id LIMIT 8""",
 )
 def event_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", json_to_map("props").alias("props"))
-    return ops.open_map(events, "props", keep=["event_id"], key="property", value="amount", k=8)
+    """Properties of any type; those that are whole numbers are ranked."""
+    events = event_objects(spark, sf_dir)
+    opened = ops.open_object(events, "props", keep=["event_id"], key="property")
+    amount = F.try_variant_get("value", "$", "bigint")
+    amounts = opened.select("event_id", "property", amount.alias("amount"))
+    return ops.top_k(amounts, [F.desc_nulls_last("amount"), "property", "event_id"], 8)
+
+
+def event_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    return events.select("event_id", F.try_parse_json("props").alias("props"))
+
+
+#: Besides the given property, one whose values are of four types.
+_MIXED_PROPS = """concat('{"k": ', json_extract(props, '$.k'), ', "mixed": ',
+  CASE event_id % 4 WHEN 0 THEN '"text"' WHEN 1 THEN '12' WHEN 2 THEN '{"a": [1]}' ELSE '[true]' END,
+  '}')"""
+
+
+@bind(
+    "event_property_types",
+    f"""WITH p AS (SELECT {_MIXED_PROPS} AS props FROM events),
+o AS (SELECT unnest(json_keys(props)) AS property, props FROM p),
+t AS (SELECT property, json_type(json_extract(props, '$.' || property)) AS kind FROM o)
+SELECT property, CASE kind WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT' ELSE kind END
+  AS type, COUNT(*) AS events FROM t GROUP BY 1, 2""",
+)
+def event_property_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often every property occurs with which type of value."""
+    events = table(spark, sf_dir, "events")
+    mixed = F.expr(_MIXED_PROPS.replace("json_extract", "get_json_object"))
+    objects = events.select(F.try_parse_json(mixed).alias("props"))
+    return ops.key_census(objects, "props", key="property", unit="events")
+
+
+@bind(
+    "event_property_values",
+    f"""WITH p AS (SELECT event_id, json_extract({_MIXED_PROPS}, '$.mixed') AS v FROM events)
+SELECT event_id, CASE json_type(v) WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT'
+    ELSE json_type(v) END AS type,
+  CASE WHEN json_type(v) = 'UBIGINT' THEN CAST(v AS DOUBLE) END AS number,
+  CASE WHEN json_type(v) = 'VARCHAR' THEN v ->> '$' END AS text,
+  CASE WHEN json_type(v) IN ('OBJECT', 'ARRAY') THEN CAST(v AS VARCHAR) END AS json FROM p""",
+)
+def event_property_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One property's values, whatever their types."""
+    mixed = F.expr(_MIXED_PROPS.replace("json_extract", "get_json_object"))
+    events = table(spark, sf_dir, "events").select(
+        "event_id", F.try_parse_json(mixed).alias("props"))
+    opened = ops.open_object(events, "props", keep=["event_id"]).filter("key = 'mixed'")
+    parts = [part.alias(name) for name, part in ops.typed_parts("value").items()]
+    return opened.select("event_id", *parts)
 
 
 @bind(

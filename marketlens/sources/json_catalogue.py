@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, LongType, MapType, StringType, StructType
 
 # The fields of one record. ``tags`` is an object with an open key
@@ -57,33 +57,12 @@ def read_catalogue(
     """Read JSON under a declared schema, which spares the inference pass.
 
     ``multi_line`` reads files that hold one array (or one pretty-printed object)
-    each; such a file cannot be split, so one task parses all of it. Large
-    catalogues should come as JSON Lines with ``multi_line=False``, or as many
-    moderate array files, and be written to a columnar table once. When the source
-    is one array after all, ``spread`` deals its rows out to that many partitions,
-    so that cleaning does not stay on the task that parsed it.
+    each; one task parses all of such a file. ``read_json_array`` splits large arrays
+    among tasks. ``spread`` deals the rows out to that many partitions, so that cleaning
+    does not stay on the task that parsed them.
     """
     reader = spark.read.schema(schema).option("multiLine", multi_line).options(**options)
     records = reader.json(path)
     if spread:
         records = records.repartition(spread)
     return flatten_struct(records, nested) if nested else records
-
-
-def audit_inferred_keys(
-    spark: SparkSession, path: str, field_path: str, *, multi_line: bool = True, first: int = 5
-) -> DataFrame:
-    """How many columns schema inference invents for a keyed object, and the first few.
-
-    The inference itself is the distributed scan; only the resulting schema is
-    looked at here. Returns one row ``(field, n_fields, first_fields)``.
-    """
-    node = spark.read.option("multiLine", multi_line).json(path).schema
-    for part in field_path.split("."):
-        node = node[part].dataType
-    names = node.fieldNames() if isinstance(node, StructType) else []
-    return spark.range(1, numPartitions=1).select(
-        F.lit(field_path).alias("field"),
-        F.lit(len(names)).cast("bigint").alias("n_fields"),
-        F.lit(", ".join(names[:first])).alias("first_fields"),
-    )
