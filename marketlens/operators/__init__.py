@@ -2,6 +2,8 @@
 
 from marketlens.operators.audit import (
     Rule,
+    cleaning_counts,
+    cleaning_lines,
     cleaning_report,
     date_coverage,
     key_audit,
@@ -57,6 +59,8 @@ __all__ = [
     "band_shares",
     "best_rated",
     "calendar_counts",
+    "cleaning_counts",
+    "cleaning_lines",
     "cleaning_report",
     "cohort_by_label",
     "cohort_vs_market",

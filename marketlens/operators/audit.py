@@ -101,18 +101,25 @@ class Rule:
     touched: Column | None = None
 
 
+def cleaning_counts(in_scope: Column, rules: Sequence[Rule]) -> list[Column]:
+    """One count per rule and the rows in scope, for an aggregate or for ``observe``."""
+    kept = F.coalesce(in_scope, F.lit(False))
+    touched = [~kept if rule.touched is None else kept & rule.touched for rule in rules]
+    hits = [count_where(hit).alias(f"n{position}") for position, hit in enumerate(touched)]
+    return [count_where(kept).alias("rows_in"), *hits]
+
+
 def cleaning_report(df: DataFrame, in_scope: Column, rules: Sequence[Rule]) -> DataFrame:
     """One row per rule: rule, rows_in, measured, n.
 
     All counts come from one aggregate over one scan of the uncut frame; a rule
     without a predicate counts the rows that fall out of scope.
     """
-    kept = F.coalesce(in_scope, F.lit(False))
-    touched = [~kept if rule.touched is None else kept & rule.touched for rule in rules]
-    counts = df.agg(
-        count_where(kept).alias("rows_in"),
-        *[count_where(hit).alias(f"n{position}") for position, hit in enumerate(touched)],
-    )
+    return cleaning_lines(df.agg(*cleaning_counts(in_scope, rules)), rules)
+
+
+def cleaning_lines(counts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The report of a row of ``cleaning_counts``."""
     lines = [
         F.struct(
             F.lit(rule.name).alias("rule"),

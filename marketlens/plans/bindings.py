@@ -25,6 +25,7 @@ from marketlens.plans.catalogue import (
     genre_facts,
     with_age_flags,
     with_cleaned_columns,
+    with_observed_cleaning,
 )
 from marketlens.plans.dirty_catalogue import nested_records, raw_catalogue, write_json_arrays
 from marketlens.plans.oracle_text import (
@@ -37,6 +38,7 @@ from marketlens.plans.oracle_text import (
     rounded,
 )
 from marketlens.sources import (
+    NamedTable,
     audit_inferred_keys,
     describe_schema,
     flatten_struct,
@@ -237,6 +239,17 @@ def materialised_genre_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return games.select("genre_rows", genres.alias("genres"), "games")
 
 
+@bind("named_table", _PER_TYPE_SQL)
+def named_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One name, written twice with different columns; the last content counts."""
+    games = NamedTable(spark, "marketlens_games")
+    narrow = games_of(spark, sf_dir).select("release_year", "is_free", "reviews")
+    games.write(narrow.select("release_year"))
+    games.write(narrow)
+    games.drop_old(keep=3)
+    return _per_type(games.read())
+
+
 on_games(
     "bounded_preview",
     lambda games: preview(
@@ -765,6 +778,24 @@ on_genres(
     ),
 )
 
+
+
+@bind("stored_genre_mix", BINDINGS["genre_mix"].sql)
+def stored_genre_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of two years over facts that lie in a folder per year."""
+    facts = genre_facts_of(spark, sf_dir).select("release_year", "genre")
+    return study.genre_mix(
+        materialise(facts, "marketlens_genre_years", partition_by=["release_year"]))
+
+
+@bind("observed_cleaning_report", BINDINGS["cleaning_report"].sql)
+def observed_cleaning_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaning report as counted while the records were stored."""
+    cleaned, report = with_observed_cleaning(with_cleaned_columns(raw_of(spark, sf_dir)))
+    materialise(cleaned, "marketlens_records")
+    return report()
+
+
 # --- platforms ------------------------------------------------------------------------
 
 _REACH = """COUNT(*) AS games, COUNT(*) FILTER (WHERE windows) AS windows,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from marketlens.functions import (
     AGE_GATED_TAGS,
@@ -20,7 +22,14 @@ from marketlens.functions import (
     value_proxy,
     wilson_lower_bound,
 )
-from marketlens.operators import Rule, cleaning_report, explode_labels, scope_filter
+from marketlens.operators import (
+    Rule,
+    cleaning_counts,
+    cleaning_lines,
+    cleaning_report,
+    explode_labels,
+    scope_filter,
+)
 
 ENTITY_TYPE = "game"
 PLATFORMS = ("windows", "mac", "linux")
@@ -93,8 +102,8 @@ def genre_facts(games: DataFrame) -> DataFrame:
     return explode_labels(games, "genres", "genre", keep=LABEL_FACT_COLUMNS)
 
 
-def catalogue_cleaning_report(cleaned: DataFrame) -> DataFrame:
-    """Measured effect of the nine cleaning rules on all records, in scope or not.
+def catalogue_rules() -> list[Rule]:
+    """The nine cleaning rules, as predicates on cleaned records.
 
     Two rules have a second line for values that look right and are lost: amounts beyond
     the integer range, and dates that no calendar has or no shape fits.
@@ -108,7 +117,7 @@ def catalogue_cleaning_report(cleaned: DataFrame) -> DataFrame:
     not_numeric = not_numeric | ~is_integer_text("discount")
     rewritten = ~F.col("publisher").eqNullSafe(F.col("publisher_clean"))
     # Rule names and what is measured.
-    rules = [
+    return [
         Rule("2.1   drop type != 'game'", "rows dropped"),
         Rule("2.2   price strings -> USD", "non-numeric source", not_numeric),
         Rule("2.2   price strings -> USD", "out of range -> NULL", lost),
@@ -125,4 +134,28 @@ def catalogue_cleaning_report(cleaned: DataFrame) -> DataFrame:
         ),
         Rule("2.8   reviews -> Wilson score", "no reviews -> NULL", F.col("wilson_score").isNull()),
     ]
-    return cleaning_report(cleaned, F.col("type") == ENTITY_TYPE, rules)
+
+
+def catalogue_cleaning_report(cleaned: DataFrame) -> DataFrame:
+    """Measured effect of the cleaning rules on all records, in scope or not."""
+    return cleaning_report(cleaned, F.col("type") == ENTITY_TYPE, catalogue_rules())
+
+
+def with_observed_cleaning(cleaned: DataFrame) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The records, and the cleaning report that is counted while they are stored.
+
+    Store the returned frame before asking for the report; it then reads no record. What is
+    counted belongs to the first time that the frame is computed.
+    """
+    counted = Observation("cleaning")
+    rules = catalogue_rules()
+    observed = cleaned.observe(counted, *cleaning_counts(F.col("type") == ENTITY_TYPE, rules))
+
+    def report() -> DataFrame:
+        found = counted.get
+        names = ["rows_in", *(f"n{position}" for position in range(len(rules)))]
+        schema = ", ".join(f"{name} long" for name in names)
+        row = cleaned.sparkSession.createDataFrame([tuple(found[n] for n in names)], schema)
+        return cleaning_lines(row, rules)
+
+    return observed, report

@@ -23,6 +23,7 @@ from marketlens.plans.catalogue import (
     genre_facts,
     with_age_flags,
     with_cleaned_columns,
+    with_observed_cleaning,
 )
 from marketlens.sources import describe_schema, materialise, row_count
 
@@ -281,7 +282,7 @@ def genre_platforms(rows: DataFrame, min_rows: int = 150) -> DataFrame:
 
 
 def loading_and_cleaning(
-    records: DataFrame, games: DataFrame, sample_name: str, prefix: str
+    records: DataFrame, games: DataFrame, sample_name: str, prefix: str, report: DataFrame
 ) -> dict[str, DataFrame]:
     return {
         "schema": describe_schema(records),
@@ -297,7 +298,7 @@ def loading_and_cleaning(
         "owner_brackets": owner_brackets(games),
         "declared_ages": declared_ages(games),
         "scored_perfect": scored_perfect(games),
-        "cleaning_report": catalogue_cleaning_report(records),
+        "cleaning_report": report,
     }
 
 
@@ -353,14 +354,21 @@ def run(
     ``prefix`` names the publisher family compared with the market and
     ``sample_name`` the entity whose tags are opened. The source is parsed once:
     the stored records keep the rows out of scope for the audits, and the
-    catalogue is a pushed-down filter over them. The returned tables are lazy.
+    catalogue is a pushed-down filter over them. The returned tables are lazy. Stored as
+    tables, the records are counted for the cleaning report while they are written, and the
+    genre facts lie in a folder per year, so that the mix reads two of them.
     """
-    records = materialise(with_cleaned_columns(raw), "marketlens_study_records", how)
+    cleaned, rows_by = with_cleaned_columns(raw), ()
+    if how == "table":
+        cleaned, report = with_observed_cleaning(cleaned)
+        rows_by = ("release_year",)
+    records = materialise(cleaned, "marketlens_study_records", how)
+    report = report() if how == "table" else catalogue_cleaning_report(records)
     games = ops.scope_filter(records, "type", ENTITY_TYPE)
-    rows = materialise(genre_facts(games), "marketlens_study_genre_rows", how)
+    rows = materialise(genre_facts(games), "marketlens_study_genre_rows", how, rows_by)
     cohort = publisher_cohort(prefix)
     return {
-        **loading_and_cleaning(records, games, sample_name, prefix),
+        **loading_and_cleaning(records, games, sample_name, prefix, report),
         **market(games, cohort),
         **genres(games, rows, cohort),
         **platforms(games, rows, cohort),

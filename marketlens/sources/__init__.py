@@ -8,6 +8,7 @@ from marketlens.sources.json_catalogue import (
     read_catalogue,
 )
 from marketlens.sources.json_keys import audit_inferred_keys, json_texts
+from marketlens.sources.named_tables import NamedTable
 from marketlens.sources.tables import (
     describe_schema,
     literal_rows,
@@ -20,6 +21,7 @@ from marketlens.sources.tables import (
 
 __all__ = [
     "CATALOGUE_SCHEMA",
+    "NamedTable",
     "RECORD_SCHEMA",
     "audit_inferred_keys",
     "describe_schema",

@@ -16,14 +16,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialise(df: DataFrame, name: str, how: str = "table") -> DataFrame:
+def materialise(
+    df: DataFrame, name: str, how: str = "table", partition_by: Sequence[str] = ()
+) -> DataFrame:
     """Compute a frame that later steps re-read once, and return the stored form.
 
     ``table`` writes a Parquet table to the shared folder: it cuts lineage, survives
     lost executors and is what a cluster should use. Every call has a table and a
     folder of its own, ``name`` and a fresh suffix, so earlier results stay readable;
     ``discard`` removes one. ``checkpoint`` does the same without a table name;
-    ``cache`` keeps lineage and recomputes lost blocks.
+    ``cache`` keeps lineage and recomputes lost blocks. For a name that lasts, see
+    ``NamedTable``.
+
+    A table can be ``partition_by`` columns that later steps select on: they then read the
+    folders of the values they ask for. Rows are dealt out by these columns first, large
+    values to several tasks, so that the folders hold few files.
     """
     spark = df.sparkSession
     if how == "cache":
@@ -36,8 +43,11 @@ def materialise(df: DataFrame, name: str, how: str = "table") -> DataFrame:
         raise ValueError(f"unknown way to materialise: {how}")
     unique = f"{name}_{uuid.uuid4().hex}"
     location = f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}/{unique}"
-    df.write.format("parquet").option("path", location).saveAsTable(unique)
-    stored = spark.table(unique)
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = rows.write.format("parquet").option("path", location)
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
+    writer.saveAsTable(unique)
+    stored = spark.table(unique).select(df.columns)
     stored.stored_as = (unique, location)
     return stored
 

@@ -1,0 +1,106 @@
+"""Names that outlast a session, folders per value, and counts taken while writing."""
+
+import threading
+
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from marketlens.plans import study
+from marketlens.plans.catalogue import (
+    catalogue_cleaning_report, with_cleaned_columns, with_observed_cleaning,
+)
+from marketlens.plans.dirty_catalogue import raw_catalogue
+from marketlens.sources import NamedTable, materialise
+
+
+def test_a_second_write_changes_the_columns_and_spares_readers(spark):
+    table = NamedTable(spark, "changing")
+    with pytest.raises(ValueError):
+        table.read()
+    assert table.write(spark.range(10)) == 1
+    first = table.read()
+    assert table.write(spark.range(3).select(F.lit("x").alias("name"), "id")) == 2
+    assert first.count() == 10
+    assert NamedTable(spark, "changing").read().columns == ["name", "id"]
+    assert table.read(version=1).count() == 10
+    assert table.drop_old() == [1]
+    assert table.versions() == [2] and table.read().count() == 3
+    with pytest.raises(ValueError):
+        table.read(version=1)
+    assert table.write(spark.range(1)) == 3
+
+
+def test_names_stand_apart(spark):
+    NamedTable(spark, "one_name").write(spark.range(1))
+    assert NamedTable(spark, "one").versions() == []
+    for name in ("", "a/b", "..", "a b"):
+        with pytest.raises(ValueError):
+            NamedTable(spark, name)
+
+
+def test_a_failed_write_leaves_the_table(spark):
+    table = NamedTable(spark, "sturdy")
+    table.write(spark.range(4))
+    with pytest.raises(Exception):
+        table.write(spark.range(4).select(F.raise_error(F.lit("broken")).alias("id")))
+    assert table.versions() == [1] and table.read().count() == 4
+
+
+def test_writers_at_the_same_time_take_numbers_of_their_own(spark):
+    numbers = []
+
+    def write(i):
+        numbers.append(NamedTable(spark, "busy").write(spark.range(i)))
+
+    writers = [threading.Thread(target=write, args=(i,)) for i in range(1, 6)]
+    for w in writers:
+        w.start()
+    for w in writers:
+        w.join()
+    assert sorted(numbers) == NamedTable(spark, "busy").versions() == [1, 2, 3, 4, 5]
+
+
+@pytest.fixture(scope="module")
+def raw(spark, sf_dir):
+    tables = [spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("part", "lineitem")]
+    return raw_catalogue(*tables)
+
+
+def test_two_of_the_years_are_read(spark):
+    facts = spark.range(9000).select(
+        F.when(F.col("id") % 11 > 0, 2010 + F.col("id") % 10).cast("int").alias("release_year"),
+        F.concat(F.lit("g"), F.col("id") % 7).alias("genre"))
+    stored = materialise(facts, "years", partition_by=["release_year"])
+    assert stored.columns == facts.columns and stored.schema["release_year"].dataType == \
+        facts.schema["release_year"].dataType
+    assert sorted(rows_of(stored), key=str) == sorted(rows_of(facts), key=str)
+    mix = study.genre_mix(stored, (2012, 2017))
+    assert rows_of(mix) == rows_of(study.genre_mix(facts, (2012, 2017)))
+    plan = mix._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [release_year" in plan
+    files = {f.split("release_year=")[1].split("/")[0] for f in stored.inputFiles()}
+    assert len(files) == 11
+    read = stored.filter(F.col("release_year").isin(2012, 2017)).select(F.input_file_name())
+    assert {r[0].split("release_year=")[1].split("/")[0] for r in read.distinct().collect()} == {
+        "2012", "2017"}
+
+
+def test_the_report_is_counted_while_the_records_are_written(spark, raw):
+    cleaned, report = with_observed_cleaning(with_cleaned_columns(raw))
+    stored = materialise(cleaned, "observed")
+    told = report()
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" not in plan.lower() and "Join" not in plan
+    assert rows_of(told) == rows_of(catalogue_cleaning_report(stored))
+    assert told.dtypes == catalogue_cleaning_report(stored).dtypes
+
+
+@pytest.mark.parametrize("how", ["table", "checkpoint"])
+def test_the_study_reports_the_same_either_way(raw, how):
+    tables = study.run(raw, prefix="brand", sample_name="small ring", how=how)
+    direct = catalogue_cleaning_report(with_cleaned_columns(raw))
+    assert rows_of(tables["cleaning_report"]) == rows_of(direct)
+    if how == "table":
+        plan = tables["genre_mix"]._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [release_year" in plan

@@ -65,6 +65,9 @@ WRITERS = {
     "materialised_checkpoint",
     "materialised_cache",
     "materialised_genre_facts",
+    "named_table",
+    "observed_cleaning_report",
+    "stored_genre_mix",
 }
 
 
