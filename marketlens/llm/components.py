@@ -13,13 +13,14 @@ def components(shared: Shared, edges: DataFrame) -> DataFrame:
 
     Each round hangs every node and its neighbours below its smallest neighbour and
     halves the paths; rounds grow with the logarithm of the longest path. Minima are
-    combined before their shuffle, and the joins can split a large star. Self loops
-    and repeated edges are ignored; no edges give no rows.
+    combined before their shuffle and stored, so that both sides of the joins are shuffled
+    for them and Spark can split a large star. Self loops and repeated edges are ignored; no
+    edges give no rows.
     """
     larger, smaller = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     state = shared.put(edges.filter("a <> b").select(larger, smaller).distinct())
     while True:
-        lowest = state.groupBy("a").agg(F.min("b").alias("p"))
+        lowest = shared.put(state.groupBy("a").agg(F.min("b").alias("p")))
         hung = state.join(lowest, "a").select(
             F.explode(
                 F.array(
@@ -36,7 +37,7 @@ def components(shared: Shared, edges: DataFrame) -> DataFrame:
         )
         following = shared.put(jumped.groupBy("a", "b").agg(F.max("moved").alias("moved")))
         moved = following.agg(F.max("moved")).first()[0]
-        shared.drop(state)
+        shared.drop(state, lowest)
         state = following
         if not moved:
             return state.select(F.col("a").alias("node"), F.col("b").alias("root"))

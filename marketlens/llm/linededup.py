@@ -24,8 +24,8 @@ def drop_repeated_lines(
     rows share is counted per (line, document) first. The text travels once, to meet
     the dropped positions of its row. Null or empty text is one empty line, which
     stays. Rows that share a ``doc_id`` count as one document; a null id counts as a
-    document below all others. Repeated rows are treated alike. Other columns,
-    whatever their names, pass through.
+    document below all others. Repeated rows are treated alike. Other columns pass through;
+    those called ``kept_text``, ``n_lines`` or ``n_dropped`` are replaced.
     """
     shared = Shared(docs.sparkSession)
     whole = F.coalesce(docs[text], F.lit(""))
@@ -46,7 +46,9 @@ def drop_repeated_lines(
         held.groupBy("h").agg(F.count("*").alias("n"), F.max("_id").alias("last"))
         .filter(F.col("n") >= min_docs).select("h", "last")
     )
-    gone = (
+    # Stored, both sides of a join come from shuffles of their own, so Spark can split a hot key.
+    common = shared.put(common)
+    gone = shared.put(
         keyed.join(common, "h").filter(~F.col("_id").eqNullSafe(F.col("last")))
         .groupBy(*[F.col(c).alias(f"g{c}") for c in ident])
         .agg(F.collect_set("_pos").alias("_gone"))

@@ -179,7 +179,7 @@ def embedding_groups(
     lists = shared.put(told.withColumn("pivot", F.explode("pivots")))
     fits = min(shared_pivots, max(1, len(points)))
     found = shared.put(
-        work_units(lists, ["label", "pivot", "width"], "node", list_rows, 4 * list_rows)
+        work_units(shared, lists, ["label", "pivot", "width"], "node", list_rows, 4 * list_rows)
         .groupBy("unit", "lo", "hi")
         .applyInPandas(lambda part: unit_links(part, cosine, fits),
                        "node long, links long, root long")
@@ -193,7 +193,9 @@ def embedding_groups(
                 (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                 F.coalesce("root", "node").alias("root"))
     )
+    known = shared.put(known)
     lowest = known.groupBy("root").agg(F.min("least").alias("component_id"))
+    lowest = shared.put(lowest)
     known = known.join(lowest, "root").select(
         F.col("label").alias("_l"), F.col("vector").alias("_v"), "n_links", "component_id"
     )

@@ -93,7 +93,7 @@ def numbered(shared: Shared, df: DataFrame, order: list[Column], name: str) -> D
 
 
 def work_units(
-    rows: DataFrame, keys: list[str], item: str, cap: int, unit_rows: int
+    shared: Shared, rows: DataFrame, keys: list[str], item: str, cap: int, unit_rows: int
 ) -> DataFrame:
     """Deal rows out so that any two rows of one key meet in exactly one bounded unit.
 
@@ -109,6 +109,7 @@ def work_units(
         .select(*[F.col(k).alias(f"_{k}") for k in keys],
                 F.ceil(F.col("count") / cap).cast("int").alias("_pieces"))
     )
+    hot = shared.put(hot)
     same = [F.col(k) == F.col(f"_{k}") for k in keys]
     joined = rows.join(hot, same, "left").drop(*[f"_{k}" for k in keys])
     piece = F.pmod(F.xxhash64(F.col(item), F.lit(7)), F.col("_pieces")).cast("int")

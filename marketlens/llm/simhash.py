@@ -191,7 +191,7 @@ def simhash_groups(
     ])
     rows = values.select("fp", F.explode(keys).alias("k")).select("k.band", "k.key", "fp")
     links = (
-        work_units(rows, ["band", "key"], "fp", tree, 4 * tree)
+        work_units(shared, rows, ["band", "key"], "fp", tree, 4 * tree)
         .groupBy("unit", "lo", "hi")
         .applyInPandas(lambda rows: shard_links(rows, radius), "a long, b long")
     )
@@ -199,7 +199,8 @@ def simhash_groups(
     rooted = values.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "lead", F.coalesce("root", "fp").alias("root")
     )
-    first = rooted.groupBy("root").agg(F.min("lead").alias("first"))
+    rooted = shared.put(rooted)
+    first = shared.put(rooted.groupBy("root").agg(F.min("lead").alias("first")))
     named = rooted.join(first, "root").select(F.col("fp").alias("_fp"), "first")
     kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
     return marked.join(named, F.col("fp") == F.col("_fp")).select(

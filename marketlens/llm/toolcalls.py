@@ -17,18 +17,51 @@ TYPES: Mapping[str, tuple[type, ...]] = {
     "object": (dict,), "array": (list,), "string": (str,), "boolean": (bool,),
     "integer": (int,), "number": (int, float), "null": (type(None),),
 }
+#: Schema words that are checked, and those that say nothing about a value.
+CHECKED = {
+    "type", "enum", "minLength", "maxLength", "pattern", "minimum", "maximum", "items",
+    "required", "properties", "additionalProperties",
+}
+NOTES = {"title", "description", "default", "examples", "$schema", "$id", "$comment"}
+#: Arguments nested deeper than this are refused, as they could not be written out again.
+DEEPEST = 400
+
+
+def kinds_of(schema: Mapping) -> list[str]:
+    kind = schema.get("type", [])
+    return [kind] if isinstance(kind, str) else list(kind)
+
+
+def check_schema(schema: Mapping, path: str = "$") -> None:
+    """Raise for what ``faults`` would pass over: unknown words, types or forms."""
+    if not isinstance(schema, Mapping):
+        raise ValueError(f"{path}: not a schema of words")
+    if unknown := sorted(set(schema) - CHECKED - NOTES):
+        raise ValueError(f"{path}: unknown schema words {', '.join(unknown)}")
+    if unknown := [k for k in kinds_of(schema) if k not in TYPES]:
+        raise ValueError(f"{path}: unknown types {unknown}")
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        raise ValueError(f"{path}: additionalProperties is neither true nor false")
+    re.compile(schema.get("pattern", ""))
+    for name, below in schema.get("properties", {}).items():
+        check_schema(below, f"{path}.{name}")
+    if "items" in schema:
+        check_schema(schema["items"], f"{path}[]")
+
+
+def is_a(value: Any, kind: str) -> bool:
+    if isinstance(value, bool) and kind in ("integer", "number"):
+        return False
+    return isinstance(value, TYPES[kind])
 
 
 def faults(value: Any, schema: Mapping, path: str = "$") -> Iterator[str]:
     """What keeps ``value`` from a JSON schema: type, enum, bounds, properties and items."""
-    kind = schema.get("type")
-    if kind and (
-        not isinstance(value, TYPES[kind])
-        or (isinstance(value, bool) and kind in ("integer", "number"))
-    ):
-        yield f"{path}: not of type {kind}"
+    kinds = kinds_of(schema)
+    if kinds and not any(is_a(value, kind) for kind in kinds):
+        yield f"{path}: not of type {' or '.join(kinds)}"
         return
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
         yield f"{path}: not an allowed value"
     if isinstance(value, str):
         if len(value) < schema.get("minLength", 0):
@@ -55,6 +88,17 @@ def faults(value: Any, schema: Mapping, path: str = "$") -> Iterator[str]:
                 yield f"{path}.{name}: unknown"
 
 
+def too_deep(value: Any) -> bool:
+    """Whether lists and objects stand in one another more than ``DEEPEST`` times."""
+    level = [value]
+    for _ in range(DEEPEST):
+        level = [some for some in level if isinstance(some, (list, dict))]
+        if not level:
+            return False
+        level = [v for some in level for v in (some.values() if isinstance(some, dict) else some)]
+    return any(isinstance(some, (list, dict)) for some in level)
+
+
 def plain_numbers(value: Any) -> Any:
     """Whole floats as integers, so equal numbers are written alike."""
     if isinstance(value, float) and value.is_integer() and abs(value) < 1 << 53:
@@ -73,7 +117,8 @@ def canonical(value: Any) -> str:
 
 
 def parsed(text: str | None) -> tuple[Any, str | None]:
-    """The value of a JSON text and why there is none; a repeated name or NaN is an error."""
+    """The value of a JSON text and why there is none; a repeated name, NaN, half of a
+    surrogate pair and nesting beyond ``DEEPEST`` are errors."""
 
     def once(pairs: list[tuple[str, Any]]) -> dict:
         if len({k for k, _ in pairs}) < len(pairs):
@@ -86,62 +131,97 @@ def parsed(text: str | None) -> tuple[Any, str | None]:
     if text is None:
         return None, "$: no arguments"
     try:
-        return json.loads(text, object_pairs_hook=once, parse_constant=refuse), None
+        value = json.loads(text, object_pairs_hook=once, parse_constant=refuse)
+        if too_deep(value):
+            return None, "$: nested too deep"
+        canonical(value).encode()
     except (ValueError, RecursionError):
         return None, "$: not JSON"
+    return value, None
 
 
 def levels(shared: Shared, needs: DataFrame) -> DataFrame:
     """(conv, call, level) of every call in ``needs`` (conv, call, dep); level -1 in or behind
     a cycle. Calls without a row here have level 0.
 
-    If no call depends on two others, paths double each round, so rounds grow with the
-    logarithm of the longest chain. Otherwise each round settles the calls whose
-    dependencies are all settled and drops their rows: as many rounds as the chain has calls.
+    Calls with one dependency are followed by doubling steps to the end of their chain: a
+    call without dependencies or one with several. Only the latter take rounds, each
+    settling those whose chains all end at settled calls; so rounds grow with the number of
+    such calls one behind another, whatever else the table holds. Settled levels go into
+    one stored table.
     """
-    waiting = shared.put(needs.distinct())
-    most = waiting.groupBy("conv", "call").count().agg(F.max("count"), F.count("*")).first()
-    if most[0] == 1:
-        return chain_levels(shared, waiting, most[1])
-    settled, done, level = None, None, 0
-    while True:
-        calls = waiting.select("conv", "call").distinct()
-        blocked = waiting.alias("w").join(
-            calls.select(F.col("conv").alias("c"), F.col("call").alias("d")),
-            (F.col("conv").eqNullSafe(F.col("c"))) & (F.col("dep") == F.col("d")), "left_semi",
-        )
-        held = blocked.select(F.col("conv").alias("c"), F.col("call").alias("d")).distinct()
-        same = F.col("conv").eqNullSafe(F.col("c")) & (F.col("call") == F.col("d"))
-        level += 1
-        ready = shared.put(
-            calls.join(held, same, "left_anti").withColumn("level", F.lit(level))
-        )
-        if ready.isEmpty():
-            stuck = calls.withColumn("level", F.lit(-1))
-            return stuck if settled is None else settled.unionByName(stuck)
-        settled = ready if settled is None else settled.unionByName(ready)
-        done = ready.select(F.col("conv").alias("c"), F.col("call").alias("d"))
-        following = shared.put(waiting.join(done, same, "left_anti"))
-        shared.drop(waiting)
-        waiting = following
-
-
-def chain_levels(shared: Shared, needs: DataFrame, calls: int) -> DataFrame:
-    """Levels of calls with one dependency each, by doubling the steps towards its root."""
-    state = shared.put(needs.select("conv", "call", F.col("dep").alias("up"),
-                                    F.lit(1).alias("level")))
+    edges = shared.put(needs.distinct())
+    per_call = edges.groupBy("conv", "call").agg(F.count("*").alias("n"), F.min("dep").alias("up"))
+    per_call = shared.put(per_call)
+    chains = chain_ends(shared, per_call.filter("n = 1").drop("n"), per_call.count())
+    several = per_call.filter("n > 1").select("conv", "call")
+    settled = joint_levels(shared, edges, several, chains)
+    at = settled.select(F.col("conv").alias("c"), F.col("call").alias("d"),
+                        F.col("level").alias("base"))
+    same = F.col("conv").eqNullSafe(F.col("c")) & (F.col("up") == F.col("d"))
+    stuck = F.col("open") | (F.coalesce("base", F.lit(0)) < 0)
+    level = F.when(stuck, -1).otherwise(F.coalesce("base", F.lit(0)) + F.col("steps"))
+    single = chains.join(at, same, "left").select("conv", "call", level.alias("level"))
+    return single.unionByName(settled)
+
+
+def chain_ends(shared: Shared, singles: DataFrame, calls: int) -> DataFrame:
+    """(conv, call, up, steps, open): where the chain of each call in ``singles`` (conv, call,
+    up) ends, and how far away; ``open`` if it never does."""
+    state = shared.put(singles.select("conv", "call", "up", F.lit(1).alias("steps"),
+                                      F.lit(True).alias("open")))
     for _ in range(calls.bit_length() + 1):
-        if state.filter("up is not null").isEmpty():
+        if state.filter("open").isEmpty():
             break
         above = state.select(F.col("conv").alias("c"), F.col("call").alias("d"),
-                             F.col("up").alias("next"), F.col("level").alias("more"))
-        same = F.col("conv").eqNullSafe(F.col("c")) & (F.col("up") == F.col("d"))
-        state = shared.put(state.join(above, same, "left").select(
-            "conv", "call", F.col("next").alias("up"),
-            (F.col("level") + F.coalesce("more", F.lit(0))).alias("level"),
+                             F.col("up").alias("next"), F.col("steps").alias("more"),
+                             F.col("open").alias("goes_on"))
+        same = F.col("open") & F.col("conv").eqNullSafe(F.col("c")) & (F.col("up") == F.col("d"))
+        following = shared.put(state.join(above, same, "left").select(
+            "conv", "call", F.coalesce("next", "up").alias("up"),
+            (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+            F.coalesce("goes_on", F.lit(False)).alias("open"),
         ))
-    level = F.when(F.col("up").isNull(), F.col("level")).otherwise(-1)
-    return state.select("conv", "call", level.alias("level"))
+        shared.drop(state)
+        state = following
+    return state
+
+
+def joint_levels(
+    shared: Shared, edges: DataFrame, several: DataFrame, chains: DataFrame
+) -> DataFrame:
+    """(conv, call, level) of the calls with several dependencies."""
+    joints = several.select(F.col("conv").alias("jc"), F.col("call").alias("jd"))
+    ends = chains.select(F.col("conv").alias("c"), F.col("call").alias("d"), "up", "steps", "open")
+    chained = F.col("conv").eqNullSafe(F.col("c")) & (F.col("dep") == F.col("d"))
+    own = F.col("conv").eqNullSafe(F.col("jc")) & (F.col("call") == F.col("jd"))
+    rows = edges.join(joints, own, "left_semi").join(ends, chained, "left").select(
+        "conv", "call", F.coalesce("up", "dep").alias("end"),
+        F.coalesce("steps", F.lit(0)).alias("steps"), F.coalesce("open", F.lit(False)).alias("stuck"))
+    known = F.col("conv").eqNullSafe(F.col("jc")) & (F.col("end") == F.col("jd"))
+    # ``wait``: the joint that has to be settled first; a chain without an end waits for ever.
+    waiting = shared.put(rows.join(joints, known, "left").select(
+        "conv", "call", "steps",
+        F.when(F.col("stuck"), F.col("call")).otherwise(F.col("jd")).alias("wait")))
+    folder, schema = shared.path(), waiting.select("conv", "call").schema.add("level", "integer")
+    while True:
+        ready = shared.put(waiting.groupBy("conv", "call").agg(
+            F.count("wait").alias("open"), (F.max("steps") + 1).alias("level")
+        ).filter("open = 0").drop("open"))
+        if ready.isEmpty():
+            stuck = waiting.select("conv", "call").distinct().withColumn("level", F.lit(-1))
+            stuck.write.mode("append").parquet(folder)
+            return shared.spark.read.schema(schema).parquet(folder)
+        ready.write.mode("append").parquet(folder)
+        done = ready.select(F.col("conv").alias("c"), F.col("call").alias("d"), "level")
+        own = F.col("conv").eqNullSafe(F.col("c")) & (F.col("call") == F.col("d"))
+        met = F.col("conv").eqNullSafe(F.col("c")) & (F.col("wait") == F.col("d"))
+        left = waiting.join(done, own, "left_anti").join(done, met, "left").select(
+            "conv", "call", (F.col("steps") + F.coalesce("level", F.lit(0))).alias("steps"),
+            F.when(F.col("level").isNull(), F.col("wait")).alias("wait"))
+        following = shared.put(left)
+        shared.drop(waiting, ready)
+        waiting = following
 
 
 def link_tool_calls(
@@ -160,12 +240,16 @@ def link_tool_calls(
     {"arguments", "id", "name", "result"}. Ordered by level, then seq, then call, calls
     follow all they depend on; a call in or behind a cycle has level -1, an orphan null. Dependencies on
     identifiers that the conversation lacks, or on the call itself, are errors and do not
-    order. Unknown names and arguments that are no JSON are errors; such arguments are
-    kept as text.
+    order. Unknown names and arguments that are no JSON, hold half of a surrogate pair or
+    are nested more than ``DEEPEST`` times are errors; such arguments are kept as text.
+    Types are those that the text shows: 1.0 is no integer and true is not 1. A schema may use the
+    words in ``CHECKED``, its type may be a list; other words raise a ValueError at once.
 
     A null conv is a conversation of its own. A null call identifier links with nothing.
     Null content is JSON null; empty tables give the rows of the other one.
     """
+    for name, schema in schemas.items():
+        check_schema(schema, name)
     shared = Shared(calls.sparkSession)
     columns = ["conv", "call", "seq", "name", "arguments", "after"]
     distinct = calls.groupBy(*columns).agg(F.count("*").alias("repeats"))
@@ -256,11 +340,7 @@ def serialiser(schemas: Mapping[str, Mapping]):
             body |= {"arguments": arguments, "name": row["name"]}
             if row["level"] == -1:
                 errors.append("after: cycle")
-        try:
-            text = canonical(body)
-        except (ValueError, RecursionError):
-            text, errors = canonical(body | {"arguments": row["arguments"]}), [*errors, "$: not JSON"]
-        return out | {"valid": not errors, "errors": "; ".join(errors), "json": text}
+        return out | {"valid": not errors, "errors": "; ".join(errors), "json": canonical(body)}
 
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from marketlens.llm.shared import Shared
+
 MAGIC = b"\x1f\x8b\x08"
 GZIP = 16 + zlib.MAX_WBITS
 READ = 1 << 17
@@ -215,6 +217,8 @@ def write_archives(
         .agg(F.min("page_id").alias("first"), F.count("*").alias("copies"))
         .filter("copies > 1 and first is not null").select(F.col("same").alias("_same"), "first")
     )
+    # Stored, it meets the rows through a shuffle on both sides, so Spark can split a hot payload.
+    groups = Shared(pages.sparkSession).put(groups)
     marked = rows.join(groups, F.col("same") == F.col("_same"), "left").select(
         "page_id", "url", "payload",
         F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"),

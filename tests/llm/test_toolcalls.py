@@ -112,6 +112,57 @@ def test_schema_words():
         [], ["$: too short"], ["$: too long", "$: does not match"]]
 
 
+@pytest.mark.parametrize("text", [
+    '{"x":"\\ud800"}', '{"\\udfff":1}', '["\\ud83d"]', '{"x":["\\ud800\\ud800"]}'])
+def test_half_of_a_surrogate_pair_is_no_json(spark, text):
+    assert parsed(text) == (None, "$: not JSON")
+    (row,) = run(spark, [(1, "a", 1, "f", text, [])], [])
+    assert row["errors"] == "$: not JSON" and json.loads(row["json"])["arguments"] == text
+    assert parsed('{"x":"\\ud83d\\ude00"}') == ({"x": "\U0001f600"}, None)
+
+
+@pytest.mark.parametrize("depth", [100, 400, 401, 500, 900, 1500, 5000, 50_000])
+@pytest.mark.parametrize("ends", [("[", "]"), ('{"x":', "}")])
+def test_nesting(spark, depth, ends):
+    text = ends[0] * depth + ("1" if ends[0] != "[" else "") + ends[1] * depth
+    (row,) = run(spark, [(1, "a", 1, "f", text, [])], [(1, "a", 2, "r")])
+    deep = {"$: nested too deep", "$: not JSON"}
+    assert (row["errors"] in deep) == (depth > 400)
+    assert (json.loads(row["json"])["arguments"] == text) == (depth > 400)
+
+
+def test_lists_of_types_and_strict_values():
+    schema = {"type": ["object", "null"], "properties": {"v": {"enum": [1, "a", None]}}}
+    assert [list(faults(v, schema)) for v in (None, {}, [])] == [
+        [], [], ["$: not of type object or null"]]
+    assert list(faults({"v": True}, schema)) == ["$.v: not an allowed value"]
+    assert list(faults({"v": 1.0}, schema)) == list(faults({"v": None}, schema)) == []
+
+
+@pytest.mark.parametrize("schema", [
+    {"const": 1}, {"oneOf": []}, {"properties": {"a": {"$ref": "#"}}}, {"items": {"not": {}}},
+    {"type": "text"}, {"type": ["null", "any"]}, {"additionalProperties": {}}, True])
+def test_schemas_that_cannot_be_checked_are_refused(spark, schema):
+    empty = spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS)
+    with pytest.raises(ValueError):
+        link_tool_calls(*empty, {"f": schema})
+
+
+def test_a_long_chain_next_to_a_diamond(spark):
+    rows = [("c", str(i + 1), str(i)) for i in range(3000)]
+    rows += [("d", "e", "b"), ("d", "e", "c"), ("d", "b", "a"), ("d", "c", "x"), ("d", "x", "a"),
+             ("d", "f", "e"), ("d", "g", "f"), ("d", "g", "a"), ("d", "h", "g")]
+    rows += [("k", "p", "q"), ("k", "q", "p"), ("k", "r", "q"), ("k", "r", "a"), ("k", "s", "r"),
+             ("k", "t", "s"), ("k", "t", "a"), (None, "m", "n"), (None, "m", "o"), (None, "n", "o")]
+    needs = spark.createDataFrame(rows, "conv string, call string, dep string").repartition(4)
+    told = levels(Shared(spark), needs)
+    assert told._jdf.queryExecution().optimizedPlan().toString().count("Relation") < 6
+    got = {(r["conv"], r["call"]): r["level"] for r in told.collect()}
+    assert got == {("c", str(i + 1)): i + 1 for i in range(3000)} | {
+        ("d", "b"): 1, ("d", "x"): 1, ("d", "c"): 2, ("d", "e"): 3, ("d", "f"): 4, ("d", "g"): 5,
+        ("d", "h"): 6, **{("k", k): -1 for k in "pqrst"}, (None, "n"): 1, (None, "m"): 2}
+
+
 def test_query_matches_brute_force(spark, sf_dir):
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").collect()
     asks = {(r["conv_id"], r["turn"]): r for r in turns if r["role"] in ("system", "user")}
