@@ -28,6 +28,8 @@ FLOOR = 0.2
 SLOTS = 1 << 20
 KNOWN_WORDS = 400_000
 STEPS = 40
+#: Tokens that the fit works on at once.
+PART_TOKENS = 1 << 18
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -128,9 +130,16 @@ class Model:
         return 1 / (1 + np.exp(-self.summaries(marginals, lengths) @ self.calibration))
 
 
-def token_labels(texts: list[list[str]], toxic: list[int]) -> list[np.ndarray]:
+def listed(words: Sequence) -> list:
+    """A document's words as Python objects, one document at a time."""
+    return words.tolist() if isinstance(words, np.ndarray) else list(words)
+
+
+def token_labels(texts: Sequence[Sequence], toxic: list[int]) -> list[np.ndarray]:
     """Which tokens of toxic documents are toxic: words that clean documents lack.
 
+    Words may be texts or their numbers; the empty word is "" or 0.
+
     A document counts for a word only as far as the words at one place near it differ, so
     the text of one much copied document does not count as many. The place that differs
     most decides: phrases of four words, first and last words keep theirs. A word that
@@ -138,7 +147,7 @@ def token_labels(texts: list[list[str]], toxic: list[int]) -> list[np.ndarray]:
     """
     seen = (Counter(), Counter())
     for words, label in zip(texts, toxic):
-        seen[label].update(set(words))
+        seen[label].update(set(listed(words)))
     n = [max(1, sum(1 for t in toxic if t == k)) for k in (0, 1)]
     doubt = math.log(max(1, len(seen[1])) / CHANCE)
 
@@ -158,69 +167,129 @@ def token_labels(texts: list[list[str]], toxic: list[int]) -> list[np.ndarray]:
     }
     for words, label in zip(texts, toxic):
         if label:
+            words = listed(words)
             for i, word in enumerate(words):
                 for place, others in zip(PLACES, near.get(word, ())):
                     if len(others) < MOST_CONTEXTS:
-                        others.add(words[i + place] if 0 <= i + place < len(words) else "")
+                        others.add(words[i + place] if 0 <= i + place < len(words) else None)
     contexts = {w: max(map(len, places)) for w, places in near.items()}
     marked = {
         w for w, k in contexts.items()
         if k >= LEAST_CONTEXTS and telling(w, min(k, seen[1][w]))
     }
     return [
-        np.array([label and w in marked for w in words], bool)
+        np.array([w in marked for w in listed(words)] if label else [False] * len(words), bool)
         for words, label in zip(texts, toxic)
     ]
 
 
+def numbers(texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
+    """Every document's words by number, and the words; 0 is the empty word. Texts are given
+    up as they are read."""
+    number = {"": 0}
+    out = []
+    for i, text in enumerate(texts):
+        texts[i] = ""
+        words = [number.setdefault(w, len(number)) for w in map(plain, text.split())]
+        out.append(np.array(words, np.int32))
+    return out, list(number)
+
+
+class Part:
+    """Documents of similar length that are worked on at once."""
+
+    def __init__(self, members: list[int], docs: list[np.ndarray], tags: list[np.ndarray]):
+        self.members = members
+        self.ids = np.concatenate([docs[i] for i in members])
+        self.tags = np.concatenate([tags[i] for i in members])
+        self.lengths = np.array([len(docs[i]) for i in members])
+        self.chains = Chains(self.lengths)
+        self.inner = np.ones(len(self.ids), bool)
+        self.inner[np.cumsum(self.lengths) - 1] = False
+
+    def pairs(self) -> np.ndarray:
+        """Places that have a following one in their document."""
+        return np.flatnonzero(self.inner)
+
+    def gold(self) -> np.ndarray:
+        at, out = self.pairs(), np.zeros((2, 2))
+        np.add.at(out, (self.tags[at].astype(int), self.tags[at + 1].astype(int)), 1.0)
+        return out
+
+    def missing(self, model: Model, by_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per word, and per pair of tags: what the labels hold beyond what the model expects."""
+        odds, t = np.exp(np.clip(by_word, -30, 30))[self.ids], model.potentials()
+        alpha, beta = self.chains.forward(odds, t, 1.0), self.chains.backward(odds, t)
+        p = alpha * beta / (1 + alpha * beta)
+        words = np.bincount(self.ids, weights=self.tags - p, minlength=len(by_word))
+        at = self.pairs()
+        ahead, behind = odds[at + 1] * beta[at + 1], alpha[at]
+        joint = (t[0, 0], t[0, 1] * ahead, t[1, 0] * behind, t[1, 1] * behind * ahead)
+        total = joint[0] + joint[1] + joint[2] + joint[3]
+        return words, np.array([(part / total).sum() for part in joint]).reshape(2, 2)
+
+
+def parts(docs: list[np.ndarray], tags: list[np.ndarray]) -> list[Part]:
+    """Documents by falling length, some ``PART_TOKENS`` tokens together."""
+    out, held, size = [], [], 0
+    for i in sorted(range(len(docs)), key=lambda i: -len(docs[i])):
+        held.append(i)
+        size += len(docs[i])
+        if size >= PART_TOKENS:
+            out.append(Part(held, docs, tags))
+            held, size = [], 0
+    if held:
+        out.append(Part(held, docs, tags))
+    return out
+
+
 def fit(texts: list[str], toxic: list[int]) -> Model:
-    """Conditional likelihood of the labelled tokens, then of the documents' labels."""
+    """Conditional likelihood of the labelled tokens, then of the documents' labels.
+
+    The driver holds a number a token and works on one part of the documents after another.
+    ``texts`` is emptied.
+    """
     model = Model()
-    once: dict[str, str] = {}
-    words = [[once.setdefault(w, w) for w in map(plain, text.split())] for text in texts]
-    pairs = [(w, y) for w, y in zip(words, toxic) if w]
-    words, toxic = [w for w, _ in pairs], [y for _, y in pairs]
+    docs, words = numbers(texts)
+    pairs = [(d, y) for d, y in zip(docs, toxic) if len(d)]
+    docs, toxic = [d for d, _ in pairs], [y for _, y in pairs]
     if len(set(toxic)) < 2:
         model.calibration[0] = 4.0 if 1 in toxic else -4.0
         return model
-    tags = np.concatenate(token_labels(words, toxic))
-    lengths = np.array([len(w) for w in words])
-    number: dict[str, int] = {}
-    ids = np.fromiter((number.setdefault(w, len(number)) for doc in words for w in doc), np.int64)
-    slots = np.array([features(w) for w in number])
-    chains = Chains(lengths)
-    ends = np.cumsum(lengths) - 1
-    inner = np.ones(len(ids), bool)
-    inner[ends] = False
-    at = np.flatnonzero(inner)
-    gold = np.zeros((2, 2))
-    np.add.at(gold, (tags[at].astype(int), tags[at + 1].astype(int)), 1.0)
+    slots = np.array([features(w) for w in words], np.int32)
+    n_words = len(words)
+    del words
+    dealt = parts(docs, token_labels(docs, toxic))
+    gold = sum(part.gold() for part in dealt)
     size = SLOTS + 1 + 4
     first, second = np.zeros(size), np.zeros(size)
-    scale = 1.0 / len(words)
+    scale = 1.0 / len(docs)
     for step in range(1, STEPS + 1):
-        emissions = (model.weights[slots].sum(axis=1) + model.bias)[ids]
-        odds, t = np.exp(np.clip(emissions, -30, 30)), model.potentials()
-        alpha, beta = chains.forward(odds, t, 1.0), chains.backward(odds, t)
-        p = alpha * beta / (1 + alpha * beta)
-        ahead = odds[at + 1] * beta[at + 1]
-        behind = alpha[at]
-        joint = (t[0, 0], t[0, 1] * ahead, t[1, 0] * behind, t[1, 1] * behind * ahead)
-        total = joint[0] + joint[1] + joint[2] + joint[3]
-        expected = np.array([(part / total).sum() for part in joint]).reshape(2, 2)
-        by_word = np.bincount(ids, weights=tags - p, minlength=len(number))
+        emission = model.weights[slots].sum(axis=1) + model.bias
+        by_word, expected = np.zeros(n_words), np.zeros((2, 2))
+        for part in dealt:
+            more = part.missing(model, emission)
+            by_word += more[0]
+            expected += more[1]
         gradient = np.bincount(slots.ravel(), np.repeat(by_word * scale, slots.shape[1]), size)
         gradient[SLOTS] = by_word.sum() * scale
         gradient[SLOTS + 1:] = ((gold - expected) * scale).ravel()
         gradient[:SLOTS] -= 1e-4 * model.weights
-        first = 0.9 * first + 0.1 * gradient
-        second = 0.99 * second + 0.01 * gradient**2
-        move = 0.3 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
+        first *= 0.9
+        first += 0.1 * gradient
+        second *= 0.99
+        second += 0.01 * gradient**2
+        move = np.sqrt(second / (1 - 0.99**step))
+        move += 1e-6
+        np.divide(0.3 / (1 - 0.9**step) * first, move, out=move)
         model.weights += move[:SLOTS]
         model.bias += move[SLOTS]
         model.transition += move[SLOTS + 1:].reshape(2, 2)
-    emissions = (model.weights[slots].sum(axis=1) + model.bias)[ids]
-    x = Model.summaries(model.marginals(emissions, lengths), lengths)
+    emission = model.weights[slots].sum(axis=1) + model.bias
+    x = np.zeros((len(docs), 3))
+    for part in dealt:
+        marginals = model.marginals(emission[part.ids], part.lengths)
+        x[part.members] = Model.summaries(marginals, part.lengths)
     y, theta = np.array(toxic, float), np.zeros(3)
     for _ in range(25):
         p = 1 / (1 + np.exp(-x @ theta))

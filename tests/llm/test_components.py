@@ -66,7 +66,7 @@ def test_any_two_rows_of_a_key_meet_once(spark):
     rows = spark.createDataFrame(
         [(0, i) for i in range(60)] + [(1, i) for i in range(5)] + [(None, 3)], "k int, v long"
     )
-    dealt = work_units(rows, ["k"], "v", cap=8, unit_rows=50).collect()
+    dealt = work_units(Shared(spark), rows, ["k"], "v", cap=8, unit_rows=50).collect()
     units = {}
     for r in dealt:
         units.setdefault((r["unit"], r["lo"], r["hi"]), []).append(r)
