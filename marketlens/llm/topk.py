@@ -1,9 +1,12 @@
-"""Exact top-k search: tiled products of query blocks and shards, lists merged in a tree."""
+"""Exact top-k search: tiled products of query batches and shards, lists merged in a tree."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marketlens.llm.shared import Shared, numbered
@@ -11,8 +14,9 @@ from marketlens.llm.shared import Shared, numbered
 QUERY_BLOCK = 2048
 SHARD = 16_384
 FAN_IN = 16
-#: Queries of a tile that are scored at once.
+#: Queries of a tile that are scored at once, bytes of queries that go to all rows at once.
 STRIP = 128
+BATCH_BYTES = 1 << 24
 LIST = "query long, query_id long, vec_id long, score long, rank int, block long, shard long"
 
 
@@ -70,14 +74,11 @@ def empty_list() -> pd.DataFrame:
     return pd.DataFrame({n: np.zeros(0, np.int64) for n in ("query", "query_id", "vec_id", "score")})
 
 
-def best(rows: pd.DataFrame, k: int, block: int, shard: int) -> pd.DataFrame:
+def best(rows: pd.DataFrame, k: int) -> pd.DataFrame:
     """Each query's ``k`` first rows by score, ties to the smaller id, with their rank."""
     rows = rows.sort_values(["query", "score", "vec_id"], ascending=[True, False, True])
     rank = rows.groupby("query").cumcount() + 1
-    rows = rows.assign(rank=rank.astype(np.int32))[rank <= k]
-    return rows.assign(block=block, shard=shard)[
-        ["query", "query_id", "vec_id", "score", "rank", "block", "shard"]
-    ]
+    return rows.assign(rank=rank.astype(np.int32))[rank <= k]
 
 
 def whole_vectors(vectors: DataFrame, vector: str, vec_id: str, scale: int) -> DataFrame:
@@ -93,14 +94,15 @@ def whole_vectors(vectors: DataFrame, vector: str, vec_id: str, scale: int) -> D
 def top_inner_products(
     vectors: DataFrame, queries: Column, k: int = 20, scale: int = 64,
     vector: str = "embedding", vec_id: str = "vec_id",
-    query_block: int = QUERY_BLOCK, shard: int = SHARD,
+    query_block: int = QUERY_BLOCK, shard: int = SHARD, batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` largest integer products of every query.
 
-    ``queries`` is a predicate on ``vec_id``. Rows are numbered once and dealt into
-    shards and query blocks of fixed size; a task multiplies one block with one shard
-    and keeps ``k`` rows a query. The lists of ``FAN_IN`` shards are merged at a time,
-    so no task reads more than that many lists of one block.
+    ``queries`` is a predicate on ``vec_id``. Queries go to the rows, in batches of
+    ``batch_bytes`` at most; rows stay where they are stored. A task multiplies a batch with
+    one shard of its rows after another and keeps ``k`` rows a query, so what is shuffled is
+    ``k`` rows a query and task. These lists are merged in a tree, those of ``FAN_IN`` tasks
+    and one block of queries at a time, so no task reads more than that.
 
     Ties go to the smaller id. Candidates are all rows but those with the query's own
     id; only vectors with as many components as the query can match. Rows with a null
@@ -109,36 +111,53 @@ def top_inner_products(
     Products beyond 64 bits stop at the limits. Only the named columns are read.
     """
     shared = Shared(vectors.sparkSession)
-    rows = shared.put(numbered(
-        shared, whole_vectors(vectors, vector, vec_id, scale), [F.col("vec_id")], "n"
-    ))
-    shards = -(-rows.count() // shard)
-    asked = numbered(shared, rows.filter(queries).drop("n"), [F.col("vec_id")], "query")
-    asked = shared.put(asked)
-    blocks = -(-asked.count() // query_block)
-    if not shards or not blocks:
-        schema = "query_id long, rank int, vec_id long, score long"
+    rows = shared.put(whole_vectors(vectors, vector, vec_id, scale))
+    asked = shared.put(numbered(shared, rows.filter(queries), [F.col("vec_id")], "query"))
+    total, widest = asked.agg(F.count("*"), F.max(F.size("vector"))).first()
+    schema = "query_id long, rank int, vec_id long, score long"
+    if not total:
         return shared.spark.createDataFrame([], schema)
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-
-    held = rows.select("vec_id", "vector", F.floor(F.col("n") / shard).alias("shard"),
-                       every(blocks).alias("block"))
-    asked = asked.select("query", "vec_id", "vector", every(shards).alias("shard"),
-                         F.floor(F.col("query") / query_block).alias("block"))
-
-    def score(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left = left.reset_index(drop=True)
-        return best(tile(left, right, k), k, key[0], key[1])
+    tasks = rows.select(F.spark_partition_id().alias("task")).agg(F.max("task")).first()[0] + 1
+
+    def lists(start: int, end: int) -> DataFrame:
+        some = asked.filter(F.col("query").between(start, end - 1)).toPandas()
+        sent = shared.spark.sparkContext.broadcast(some)
+
+        def score(stream: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            asking, held = sent.value, []
+            for part in shards(stream, shard):
+                held = [best(pd.concat([*held, tile(asking, part, k)]), k)]
+            for found in held:
+                block = found["query"] // query_block
+                yield found.assign(block=block, shard=TaskContext.get().partitionId())
+
+        found, left = rows.mapInPandas(score, LIST), tasks
+        while left > 1:
+            found = found.withColumn("shard", F.floor(F.col("shard") / FAN_IN))
+            found = found.groupBy("block", "shard").applyInPandas(merge, LIST)
+            left = -(-left // FAN_IN)
+        return found.select("query_id", "rank", "vec_id", "score")
 
     def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return best(rows, k, key[0], key[1])
-
-    lists = asked.groupBy("block", "shard").cogroup(held.groupBy("block", "shard"))
-    lists = lists.applyInPandas(score, LIST)
-    while shards > 1:
-        lists = lists.withColumn("shard", F.floor(F.col("shard") / FAN_IN))
-        lists = lists.groupBy("block", "shard").applyInPandas(merge, LIST)
-        shards = -(-shards // FAN_IN)
-    return lists.select("query_id", "rank", "vec_id", "score")
+        return best(rows, k).assign(block=key[0], shard=key[1])
+
+    batch = max(1, batch_bytes // (8 * max(1, widest)))
+    folder = shared.path()
+    for start in range(0, total, batch):
+        lists(start, start + batch).write.mode("append").parquet(folder)
+    return shared.spark.read.schema(schema).parquet(folder)
+
+
+def shards(stream: Iterable[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
+    """A task's rows, ``most`` at a time."""
+    held, size = [], 0
+    for part in stream:
+        while size + len(part) >= most:
+            cut = most - size
+            yield pd.concat([*held, part[:cut]])
+            part, held, size = part[cut:], [], 0
+        if len(part):
+            held.append(part)
+            size += len(part)
+    if held:
+        yield pd.concat(held)

@@ -3,6 +3,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from marketlens.llm import topk
+from marketlens.llm.shared import Shared
 from marketlens.llm.topk import top_inner_products
 
 SCHEMA = "vec_id long, embedding array<double>, query int, rank string"
@@ -36,9 +38,36 @@ def run(spark, rows, k=3, every=2, **options):
 def test_matches_brute_force_over_many_tiles(spark):
     rows = [(i, [math.sin(i * j + j) * 3 for j in range(1, 6)]) for i in range(90)]
     assert run(spark, rows, query_block=7, shard=2) == brute(rows, 3, 2)
+    assert run(spark, rows, query_block=4, shard=5, batch_bytes=500) == brute(rows, 3, 2)
     assert run(spark, rows) == brute(rows, 3, 2)
 
 
+def test_many_tasks_are_merged_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(topk, "FAN_IN", 2)
+    rows = [(i, [math.cos(i * j) * 3 for j in range(1, 4)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(13)
+    spark.conf.set("spark.sql.files.openCostInBytes", "100000000")
+    try:
+        got = top_inner_products(df, F.col("vec_id") % 9 == 0, k=4, query_block=5, shard=3)
+        assert sorted(map(tuple, got.collect())) == brute(rows, 4, 9)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_rows_are_not_shuffled(spark, sf_dir):
+    """Beyond the numbering of queries, only lists go through an exchange."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    plans = []
+    put = Shared.put
+    try:
+        Shared.put = lambda self, df: plans.append(
+            df._jdf.queryExecution().executedPlan().toString()) or put(self, df)
+        top_inner_products(rows, F.col("vec_id") % 20 == 0)
+    finally:
+        Shared.put = put
+    assert "Exchange" not in plans[0] and len(plans) == 3
+
+
 def test_ties_go_to_the_smaller_id(spark):
     rows = [(i, [1.0, 0.5]) for i in range(40)]
     assert run(spark, rows, shard=7) == brute(rows, 3, 2)
