@@ -1,6 +1,8 @@
 import hashlib
 import math
+import random
 import re
+import string
 from collections import Counter
 
 import pytest
@@ -8,7 +10,7 @@ from hypothesis import given, settings, strategies as st
 
 import __spark_entry__ as driver
 from marketlens.llm.secret_scan import (
-    BASE_KINDS, WindowEntropy, base_spans, find_secrets, ordered,
+    ALLOWED, BASE_KINDS, WindowEntropy, base_spans, entropy_spans, find_secrets, ordered,
 )
 
 
@@ -91,6 +93,62 @@ def test_query_matches_brute_force(spark, sf_dir):
         assert ",".join(rest) == joined
 
 
+LOWER, UPPER, DIGITS = string.ascii_lowercase, string.ascii_uppercase, string.digits
+ALPHABETS = {
+    "base62": LOWER + UPPER + DIGITS, "base64": LOWER + UPPER + DIGITS + "+/",
+    "base64url": LOWER + UPPER + DIGITS + "-_", "lower and digits": LOWER + DIGITS,
+    "upper and digits": UPPER + DIGITS, "letters": LOWER + UPPER, "upper hex": DIGITS + "ABCDEF",
+    "hex": DIGITS + "abcdef", "digits": DIGITS,
+}
+
+
+def share_found(alphabet, length, n=400):
+    draw = random.Random(length)
+    keys = ["".join(draw.choice(alphabet) for _ in range(length)) for _ in range(n)]
+    skip = re.compile("|".join(f"(?:{a})" for a in ALLOWED))
+    texts = [f"see {key}, then" for key in keys]
+    return sum(bool(base_spans(t) or entropy_spans(t, skip)) for t in texts) / n
+
+
+@pytest.mark.parametrize("length", [16, 17, 18, 19, 20, 22, 24, 32, 64])
+@pytest.mark.parametrize("name", sorted(ALPHABETS))
+def test_random_keys_are_found(name, length):
+    assert share_found(ALPHABETS[name], length) >= (0.95 if length >= 20 else 0.9)
+
+
+@pytest.mark.parametrize("alphabet", [LOWER, UPPER])
+def test_keys_of_letters_of_one_case_are_harder(alphabet):
+    assert [share_found(alphabet, n) >= least for n, least in (
+        (16, 0.7), (20, 0.85), (24, 0.92), (32, 0.97), (64, 0.99))] == [True] * 5
+
+
+HARMLESS = """
+/2021/05/some-article-title-here /a1/b2/some-long-path-of-words/index
+report-2021-final-version-copy-of-draft The_Quick_Brown_Fox_Jumps_Over_13_Lazy_Dogs
+src/main/java/org/example/ApplicationContextFactory getElementsByClassNameAndAttribute
+MAX_CONNECTION_RETRY_COUNT_2 2024-01-31T12-45-59 IMG_20210531_142233-edited
+user_profile_settings_v2_final internationalization Donaudampfschifffahrtsgesellschaft
+Rechtsschutzversicherungsgesellschaften AbstractSingletonProxyFactoryBean
+/usr/local/lib/python3/site-packages window-size-1920x1080-dpi-2x anticonstitutionnellement
+electroencefalografistas com/google/android/gms/common/internal 123e4567-e89b-12d3-a456-426614174000
+""".split()
+
+
+def test_paths_names_and_words_are_not_reported():
+    skip = re.compile("|".join(f"(?:{a})" for a in ALLOWED))
+    assert [t for t in HARMLESS if entropy_spans(t, skip)] == []
+
+
+def test_plain_documents_are_not_reported(spark, sf_dir):
+    """Whatever entropy finds in the given texts lies in a span of the base patterns."""
+    skip = re.compile("|".join(f"(?:{a})" for a in ALLOWED))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()
+    for (text,) in docs:
+        base = base_spans(text or "")
+        for start, end, _ in entropy_spans(text or "", skip):
+            assert any(start < b and a < end for a, b, _ in base)
+
+
 @pytest.mark.parametrize("text", ["AKIA" * 6, "token=secret:abcdefghijklmnop", "api_key: 'short'"])
 def test_nested_candidates(text):
     assert sorted(base_spans(text)) == sorted(plain_base(text))
