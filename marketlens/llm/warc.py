@@ -87,9 +87,24 @@ def parsed(data: bytes) -> dict:
     }
 
 
+#: Schemes that Hadoop spells otherwise than Arrow does for the same store.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+#: Schemes whose files every machine also has below a folder.
+MOUNTED = {"dbfs": "/dbfs"}
+
+
 def open_store(uri: str) -> tuple[fs.FileSystem, str]:
-    """Any store that Arrow reaches (local, HDFS, S3, GCS) by its URI; a plain path is local."""
-    return fs.FileSystem.from_uri(uri)
+    """Any store that Arrow reaches (local, HDFS, S3, GCS, ABFS) by its URI, in Hadoop's
+    spelling or Arrow's; a plain path is local. Other schemes raise a ValueError."""
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme:
+        return fs.LocalFileSystem(), uri
+    if scheme in MOUNTED:
+        return fs.LocalFileSystem(), f"{MOUNTED[scheme]}/{rest.lstrip('/')}"
+    try:
+        return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
+    except (pa.ArrowInvalid, OSError) as error:
+        raise ValueError(f"archives cannot be kept in a {scheme}: store") from error
 
 
 class Window:
@@ -128,22 +143,32 @@ def read_member(window: Window, at: int) -> tuple[bytes, int]:
     return b"".join(parts), at
 
 
-def records_in(file: pa.NativeFile, size: int, start: int, end: int) -> Iterator[bytes]:
-    """Decoded records whose first byte lies in [start, end); the last may reach beyond."""
+def records_in(
+    file: pa.NativeFile, size: int, start: int, end: int
+) -> Iterator[bytes | None]:
+    """Decoded records whose first byte lies in [start, end); the last may reach beyond.
+
+    A member that begins like a record and cannot be decoded to its end is None; the search
+    goes on behind its first byte. Bytes that begin no record are passed over.
+    """
     window, at = Window(file, size), start
-    while at < end:
+    while at < min(end, size):
         data = window.bytes(at, len(MAGIC))
         found = data.find(MAGIC)
         if found < 0:
             at += max(1, len(data) - len(MAGIC) + 1)
             continue
         at += found
-        if at < end and starts_record(window, at):
-            while at < min(end, size):
-                data, at = read_member(window, at)
-                yield data
+        if at >= end:
             return
-        at += 1
+        if not starts_record(window, at):
+            at += 1
+            continue
+        try:
+            data, at = read_member(window, at)
+        except (ValueError, zlib.error):
+            data, at = None, at + 1
+        yield data
 
 
 def read_archives(
@@ -156,7 +181,10 @@ def read_archives(
     Files are cut into byte ranges, one row each. A task looks for gzip magic from the
     start of its range, accepts the first place that decodes to a record header, and
     owns all records that start inside, so a large archive needs no index and no single
-    reader. A response whose payload does not match its digest is an error.
+    reader. A member that is cut off, or damaged so that gzip's checks fail, becomes a row of
+    type ``damaged`` with nothing else in it, and reading goes on with the next record;
+    bytes between members are passed over. A response that gzip finds whole and whose payload
+    does not match its digest is an error.
     """
 
     def batches(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,8 +194,8 @@ def read_archives(
                 with store.open_input_file(path) as file:
                     held, size = [], 0
                     for data in records_in(file, split["bytes"], split["start"], split["end"]):
-                        row = parsed(data)
-                        size += len(data)
+                        row = {"record_type": "damaged"} if data is None else parsed(data)
+                        size += len(data or b"")
                         if not keep_payload:
                             row["payload"] = None
                         held.append(row)
@@ -207,6 +235,7 @@ def write_archives(
     Null html is an empty payload; a null id is written as such and never a response
     others refer to, unless all of its copies have none: then all are responses.
     """
+    open_store(folder)  # an unknown store is an error here, not in a task
     rows = pages.select(
         pages[page_id].cast("long").alias("page_id"), pages[url].alias("url"),
         F.encode(F.coalesce(pages[html], F.lit("")), "UTF-8").alias("payload"),

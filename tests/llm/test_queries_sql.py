@@ -1,5 +1,7 @@
 """Queries whose SQL takes few seconds against DuckDB, values and types."""
 
+import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as driver
@@ -15,3 +17,29 @@ def test_matches_sql(spark, duck, sf_dir, name):
     assert {f.name: TYPES[f.dataType.simpleString()] for f in got.schema} == kinds
     rows = [tuple(r) for r in got.select(list(kinds)).collect()]
     assert rows and sorted(rows, key=str) == sorted(told.fetchall(), key=str)
+
+
+def test_planted_links_match_sql(spark, tmp_path):
+    """The given vectors hold no links, so the statement is held against vectors that do."""
+    random = np.random.default_rng(12)
+    centres = random.normal(size=(40, 16))
+    rows = []
+    for i in range(900):
+        v = centres[i % 40] + random.normal(size=16) * [0.05, 0.2, 0.3][i % 3]
+        rows.append((i, v.tolist(), int(i % 40 % 7)))
+    rows += [(900 + i, rows[i][1], rows[i][2]) for i in range(0, 200, 3)]
+    rows += [(2000, None, 1), (2001, [0.0] * 16, 1), (2002, rows[0][1], None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    df.write.parquet(str(tmp_path / "embeddings.parquet"))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW embeddings AS FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    told = duck.execute(driver.oracle_sql()["op10_embedding_dedup"])
+    columns = [c[0] for c in told.description]
+    expected = {r[0]: r for r in told.fetchall()}
+    got = driver.queries()["op10_embedding_dedup"](spark, str(tmp_path)).select(columns).collect()
+    found = {r[0]: tuple(r) for r in got}
+    links = sum(r[1] for r in expected.values())
+    assert links > 4000 and len(found) == len(rows)
+    assert all(found[i][1] <= expected[i][1] for i in expected)
+    assert sum(r[1] for r in found.values()) >= 0.99 * links
+    assert sum(found[i] == expected[i] for i in expected) >= 0.98 * len(rows)
