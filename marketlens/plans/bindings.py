@@ -27,6 +27,7 @@ from marketlens.plans.catalogue import (
     with_cleaned_columns,
     with_observed_cleaning,
 )
+from marketlens.plans.census import PARTS, market_census
 from marketlens.plans.dirty_catalogue import nested_records, raw_catalogue, write_json_arrays
 from marketlens.plans.oracle_text import (
     any_tag,
@@ -591,6 +592,39 @@ on_games(
   quantile_disc(discount_pct, 0.5) AS median_discount FROM games WHERE discount_pct > 0"""
     ),
 )
+def _census_sql() -> str:
+    """The same counts as one SELECT per part."""
+    ranks = {
+        "price_rank": f"list_position([{', '.join(map(repr, PRICE_BANDS.all_labels))}], {_PRICE_BAND}) - 1",
+        "languages_rank": f"""list_position([{', '.join(map(repr, LIST_LENGTH_BANDS.all_labels))}], {
+            banded("n_languages", LIST_LENGTH_BANDS.edges, LIST_LENGTH_BANDS.labels, None, "unknown")}) - 1""",
+    }
+    month = "CASE WHEN release_year BETWEEN 2014 AND 2021 THEN release_month END"
+    columns = {"price_rank": "INTEGER", "languages_rank": "INTEGER", "age_rating": "INTEGER",
+               "release_year": "INTEGER", "release_month": "INTEGER", "windows": "BOOLEAN",
+               "mac": "BOOLEAN", "linux": "BOOLEAN"}
+    given = {name: f"CAST({ranks.get(name, month if name == 'release_month' else name)} AS {kind})"
+             for name, kind in columns.items()}
+    selects = []
+    for part, keys in PARTS.items():
+        shown = [f"{given[n] if n in keys else f'CAST(NULL AS {kind})'} AS {n}"
+                 for n, kind in columns.items()]
+        grouped = f"GROUP BY {', '.join(given[k] for k in keys)}" if keys else ""
+        selects.append(f"""SELECT {', '.join(shown)}, '{part}' AS part, COUNT(*) AS games,
+  COUNT(*) FILTER (WHERE is_free) AS free, COUNT(*) FILTER (WHERE discount_pct > 0) AS discounted,
+  COUNT(discount_pct) AS known_discounts,
+  CAST(SUM(discount_pct) FILTER (WHERE discount_pct > 0) AS BIGINT) AS depth,
+  COUNT(*) FILTER (WHERE price <> initialprice) AS below_list,
+  MIN(price_usd) AS min_price, MAX(price_usd) AS max_price,
+  MIN(release_date_parsed) AS first_release, MAX(release_date_parsed) AS last_release,
+  COUNT(*) FILTER (WHERE release_date_parsed IS NULL) AS undated,
+  COUNT(*) FILTER (WHERE windows) AS on_windows, COUNT(*) FILTER (WHERE mac) AS on_mac,
+  COUNT(*) FILTER (WHERE linux) AS on_linux,
+  COUNT(*) FILTER (WHERE positive_ratio = 1) AS perfect FROM games {grouped}""")
+    return " UNION ALL ".join(selects)
+
+
+on_games("market_census", market_census, over_games(_census_sql()))
 on_games(
     "discounts_by_band",
     study.discounts_by_band,

@@ -25,6 +25,7 @@ from marketlens.plans.catalogue import (
     with_cleaned_columns,
     with_observed_cleaning,
 )
+from marketlens.plans.census import market_census, market_tables
 from marketlens.sources import describe_schema, materialise, row_count
 
 
@@ -356,7 +357,8 @@ def run(
     the stored records keep the rows out of scope for the audits, and the
     catalogue is a pushed-down filter over them. The returned tables are lazy. Stored as
     tables, the records are counted for the cleaning report while they are written, and the
-    genre facts lie in a folder per year, so that the mix reads two of them.
+    genre facts lie in a folder per year, so that the mix reads two of them. Twelve tables
+    come from one census of the catalogue.
     """
     cleaned, rows_by = with_cleaned_columns(raw), ()
     if how == "table":
@@ -366,10 +368,13 @@ def run(
     report = report() if how == "table" else catalogue_cleaning_report(records)
     games = ops.scope_filter(records, "type", ENTITY_TYPE)
     rows = materialise(genre_facts(games), "marketlens_study_genre_rows", how, rows_by)
+    census = materialise(market_census(games), "marketlens_study_census", how)
     cohort = publisher_cohort(prefix)
     return {
         **loading_and_cleaning(records, games, sample_name, prefix, report),
         **market(games, cohort),
         **genres(games, rows, cohort),
         **platforms(games, rows, cohort),
+        # What one scan has counted for all of them.
+        **market_tables(census),
     }

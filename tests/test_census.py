@@ -1,0 +1,58 @@
+"""Tables that share one scan are those that each scan of its own would give."""
+
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from marketlens.plans import study
+from marketlens.plans.catalogue import clean
+from marketlens.plans.census import market_census, market_tables
+from marketlens.plans.dirty_catalogue import raw_catalogue
+from marketlens.sources import materialise
+
+
+@pytest.fixture(scope="module")
+def games(spark, sf_dir):
+    tables = [spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("part", "lineitem")]
+    return clean(raw_catalogue(*tables)).cache()
+
+
+def odd(games):
+    """Missing values in everything that is counted."""
+    names = ["price", "price_usd", "is_free", "discount_pct", "n_languages", "age_rating",
+             "windows", "mac"]
+    dated = ["release_date_parsed", "release_year", "release_month"]
+    marks = {n: n for n in names} | {n: "date" for n in dated}
+    return games.withColumns({
+        n: F.when(F.pmod(F.xxhash64("appid", F.lit(mark)), F.lit(4)) > 0, F.col(n))
+        for n, mark in marks.items()})
+
+
+@pytest.mark.parametrize("case", ["all", "odd", "one", "none"])
+def test_tables_of_the_census(games, case):
+    df = {"all": games, "odd": odd(games), "one": games.limit(1), "none": games.limit(0)}[case]
+    separate = {
+        "price_check": study.price_check, "release_coverage": study.release_coverage,
+        "price_bands": study.price_bands, "discounts_by_band": study.discounts_by_band,
+        "language_counts": study.language_counts, "age_census": study.age_census,
+        "age_thresholds": study.age_thresholds, "releases_per_year": study.releases_per_year,
+        "releases_per_month": study.releases_per_month, "platform_reach": study.platform_reach,
+        "platform_combinations": study.platform_combinations,
+        "perfect_scores": study.perfect_scores,
+    }
+    tables = market_tables(materialise(market_census(df), f"census_{case}"))
+    assert set(tables) == set(separate)
+    for name, report in separate.items():
+        alone = report(df)
+        assert tables[name].dtypes == alone.dtypes, name
+        assert rows_of(tables[name]) == rows_of(alone), name
+
+
+def test_one_scan_of_the_catalogue(spark, games, tmp_path):
+    games.write.parquet(str(tmp_path / "games"))
+    census = market_census(spark.read.parquet(str(tmp_path / "games")))
+    plan = census._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange ") == 1
+    stored = materialise(census, "scanned_once")
+    for table in market_tables(stored).values():
+        assert "/games" not in table._jdf.queryExecution().executedPlan().toString()

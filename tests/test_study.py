@@ -90,7 +90,7 @@ def test_run_plans_every_table(raw, games):
         collected = table.collect()
         if name not in ("annotated_languages", "publisher_forms", "entity_tags", "scored_perfect"):
             assert collected or name.startswith("genre_"), name
-    plan = tables["price_bands"]._jdf.queryExecution().executedPlan().toString()
+    plan = tables["top_publishers"]._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(type,game)" in plan  # the scope filter reaches the stored table
     assert rows_of(tables["best_rated_games"]) == rows_of(study.best_rated_games(games))
 
