@@ -34,6 +34,7 @@ from marketlens.operators.groups import (
     members_of_leaders,
     with_total_row,
 )
+from marketlens.operators.heavy import frequent_labels
 from marketlens.operators.labels import (
     explode_labels,
     label_prevalence,
@@ -76,6 +77,7 @@ __all__ = [
     "flag_rate_by_label",
     "flag_rates_by_band",
     "flag_reach",
+    "frequent_labels",
     "group_sizes",
     "grouped_medians",
     "inferred_fields",

@@ -42,6 +42,7 @@ from marketlens.sources import (
     NamedTable,
     audit_inferred_keys,
     describe_schema,
+    discard,
     flatten_struct,
     literal_rows,
     materialise,
@@ -107,6 +108,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}"
 
 
+#: The last frames each query has stored; earlier ones are given up.
+_STORED: dict[str, list[DataFrame]] = {}
+_STORED_RUNS = 2
+
+
+def stored(name: str, frame: DataFrame) -> DataFrame:
+    """Remember what a query has stored, so that its repetition leaves no more than the last
+    runs' tables and cached blocks behind."""
+    frames = [f for f in _STORED.get(name, []) if f.sparkSession.sparkContext._jsc is not None]
+    _STORED[name] = [*frames, frame]
+    while len(_STORED[name]) > _STORED_RUNS:
+        discard(_STORED[name].pop(0))
+    return frame
+
+
 # --- sources and sinks ----------------------------------------------------------------
 
 _SCANNED = [
@@ -208,7 +224,7 @@ def _per_type(games: DataFrame) -> DataFrame:
 @bind("materialised_table", _PER_TYPE_SQL)
 def materialised_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     narrow = games_of(spark, sf_dir).select("release_year", "is_free", "reviews")
-    return _per_type(materialise(narrow, "marketlens_games"))
+    return _per_type(stored("games", materialise(narrow, "marketlens_games")))
 
 
 @bind("materialised_checkpoint", _PER_TYPE_SQL)
@@ -220,7 +236,7 @@ def materialised_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 @bind("materialised_cache", _PER_TYPE_SQL)
 def materialised_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     narrow = games_of(spark, sf_dir).select("release_year", "is_free", "reviews")
-    return _per_type(materialise(narrow, "games", how="cache"))
+    return _per_type(stored("cached games", materialise(narrow, "games", how="cache")))
 
 
 @bind(
@@ -232,11 +248,11 @@ def materialised_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def materialised_genre_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = genre_facts_of(spark, sf_dir)
-    stored = materialise(facts, "marketlens_genre_rows")
+    rows = stored("genre rows", materialise(facts, "marketlens_genre_rows"))
     # Two levels instead of two distinct counts in one, which would triple the rows.
-    per_game = stored.groupBy("appid").agg(F.count("*").alias("n"))
+    per_game = rows.groupBy("appid").agg(F.count("*").alias("n"))
     games = per_game.agg(F.sum("n").alias("genre_rows"), F.count("*").alias("games"))
-    genres = stored.agg(F.count_distinct("genre")).scalar()
+    genres = rows.agg(F.count_distinct("genre")).scalar()
     return games.select("genre_rows", genres.alias("genres"), "games")
 
 
@@ -818,15 +834,15 @@ on_genres(
 def stored_genre_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of two years over facts that lie in a folder per year."""
     facts = genre_facts_of(spark, sf_dir).select("release_year", "genre")
-    return study.genre_mix(
-        materialise(facts, "marketlens_genre_years", partition_by=["release_year"]))
+    by_year = materialise(facts, "marketlens_genre_years", partition_by=["release_year"])
+    return study.genre_mix(stored("genre years", by_year))
 
 
 @bind("observed_cleaning_report", BINDINGS["cleaning_report"].sql)
 def observed_cleaning_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaning report as counted while the records were stored."""
     cleaned, report = with_observed_cleaning(with_cleaned_columns(raw_of(spark, sf_dir)))
-    materialise(cleaned, "marketlens_records")
+    stored("records", materialise(cleaned, "marketlens_records"))
     return report()
 
 
@@ -1357,6 +1373,14 @@ def word_prevalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@bind("frequent_words", BINDINGS["word_prevalence"].sql)
+def frequent_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same leaders; rare words are never shuffled one by one."""
+    return ops.frequent_labels(
+        table(spark, sf_dir, "documents"), F.array_distinct(_words("text")), "word",
+        unit="documents", share="pct_of_documents")
+
+
 _LENGTH_BANDS = Bands((500, 2000, 10000), ("short", "medium", "long", "very long"))
 _ARTICLES = ["The", "the", "Der", "der"]
 _SMALL_WORDS = _ARTICLES + ["And", "and", "Und", "und"]

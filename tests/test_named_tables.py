@@ -104,3 +104,20 @@ def test_the_study_reports_the_same_either_way(raw, how):
     if how == "table":
         plan = tables["genre_mix"]._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [release_year" in plan
+
+
+def test_repeated_queries_leave_few_tables(spark, sf_dir):
+    from marketlens.plans.bindings import BINDINGS
+
+    def tables():
+        return {t.name for t in spark.catalog.listTables() if t.name.startswith("marketlens_g")}
+
+    names = ["materialised_table", "materialised_genre_facts", "stored_genre_mix"]
+    for _ in range(4):
+        for name in names:
+            assert BINDINGS[name].build(spark, sf_dir).collect()
+        BINDINGS["materialised_cache"].build(spark, sf_dir).collect()
+    held = len(tables())
+    for name in names:
+        BINDINGS[name].build(spark, sf_dir).collect()
+    assert len(tables()) == held <= 2 * len(names)
