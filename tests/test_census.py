@@ -14,7 +14,9 @@ from marketlens.sources import materialise
 @pytest.fixture(scope="module")
 def games(spark, sf_dir):
     tables = [spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("part", "lineitem")]
-    return clean(raw_catalogue(*tables)).cache()
+    cached = clean(raw_catalogue(*tables)).cache()
+    yield cached
+    cached.unpersist()
 
 
 def odd(games):
