@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB statement, and the shape of its plan."""
 
 import os
+import re
 import sys
 
 import pytest
@@ -158,3 +159,21 @@ def test_medians_shuffle_only_grid_points(spark, sf_dir):
     plan = plan_of(spark, sf_dir, "customer_cohort_orders")
     above_the_join = plan.split("Join")[0]
     assert above_the_join.count("Exchange ") == 2
+
+
+ORDERED = sorted(
+    name for name, sql in ORACLE.items() if re.search(r"ORDER BY [^()]*\Z", sql)
+)
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_order_is_that_of_the_oracle(spark, duck, sf_dir, name):
+    """Where the statement ends on an order, rows come in that order, ties included."""
+    df = QUERIES[name](spark, sf_dir)
+    result = duck.execute(ORACLE[name])
+    columns = [column[0] for column in result.description]
+    assert [tuple(row[c] for c in columns) for row in df.collect()] == result.fetchall()
+
+
+def test_many_orders_are_checked():
+    assert len(ORDERED) >= 10
