@@ -6,7 +6,7 @@ from math import acos, cos, isqrt, pi
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from marketlens.llm.components import components, unite
 from marketlens.llm.shared import Shared, work_units
@@ -23,6 +23,8 @@ STRIP = 512
 PAIRS = 1 << 17
 #: Above this share of candidates a strip's cosines are worked out in one product.
 MANY = 1 / 16
+#: In place of a second pivot: a list that is not cut up, rows whose nearest pivot it is.
+WHOLE, NEAREST = -2, -1
 
 
 def fitted(points: np.ndarray, width: int) -> np.ndarray:
@@ -44,8 +46,13 @@ def spaced(points: np.ndarray, cosine: float) -> np.ndarray:
 
 def nearest(vectors: np.ndarray, points: np.ndarray, prefix: int) -> np.ndarray:
     """Numbers of the ``prefix`` nearest reference points, nearest first."""
-    closeness = vectors @ fitted(points, vectors.shape[1]).T
-    return np.argsort(-closeness, axis=1, kind="stable")[:, :prefix]
+    away = -(vectors @ fitted(points, vectors.shape[1]).T)
+    if prefix < len(points):
+        near = np.sort(np.argpartition(away, prefix - 1, axis=1)[:, :prefix], axis=1)
+    else:
+        near = np.broadcast_to(np.arange(len(points)), away.shape)
+    order = np.argsort(np.take_along_axis(away, near, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(near, order, axis=1)
 
 
 def unit(rows: pd.Series, width: int) -> np.ndarray:
@@ -54,14 +61,58 @@ def unit(rows: pd.Series, width: int) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1)[:, None]
 
 
+def sublists(pivots: Column, pivot: Column, hot: Column) -> Column:
+    """Second pivots under which a row stands in the list of ``pivot``.
+
+    A list that is not hot is one. A hot one is cut up by the greater pivots of its rows;
+    rows whose nearest pivot it is meet once more for the sake of those that share no other.
+    """
+    others = F.filter(pivots, lambda q: q > pivot)
+    own = F.when(pivots[0] == pivot, F.array(F.lit(NEAREST))).otherwise(
+        F.array().cast("array<int>"))
+    return F.when(hot, F.concat(others, own)).otherwise(F.array(F.lit(WHOLE)))
+
+
+def lists_to_cut(shared: Shared, lists: DataFrame, most: int) -> DataFrame:
+    """(_label, _pivot, _width) of lists of over ``most`` rows that take fewer comparisons once
+    they are cut up. Rows that share all their points, as a dense group does, would only
+    meet in more lists.
+    """
+    keys = ["label", "pivot", "width"]
+    names = [F.col(k).alias(f"_{k}") for k in keys]
+    same = [F.col(k) == F.col(f"_{k}") for k in keys]
+    long = shared.put(
+        lists.groupBy(*keys).count().filter(F.col("count") > most)
+        .select(*names, F.col("count").alias("_rows"))
+    )
+    second = F.explode(sublists(F.col("pivots"), F.col("pivot"), F.lit(True)))
+    parts = lists.join(long, same).select(*long.columns, second.alias("second"))
+    parts = parts.groupBy(*long.columns, "second").count()
+    square = lambda n: F.col(n).cast("double") * F.col(n)
+    after = parts.groupBy(*long.columns).agg(F.sum(square("count")).alias("after"))
+    return after.filter(F.col("after") < square("_rows")).select("_label", "_pivot", "_width")
+
+
+def owned(common: np.ndarray, local: np.ndarray, pivot: int, second: int) -> np.ndarray:
+    """Which pairs, by the ``local`` pivots they have in common, are counted in this list: that
+    of their smallest common pivot, and there, if it is cut up, that of the next one."""
+    at = common.argmax(axis=1)
+    own = local[at] == pivot
+    if second != WHOLE:
+        rest = common.copy()
+        rest[np.arange(len(at)), at] = False
+        own &= np.where(rest.any(axis=1), local[rest.argmax(axis=1)], NEAREST) == second
+    return own
+
+
 def list_links(
-    rows: pd.DataFrame, pivot: int, least: float, least_shared: int,
+    rows: pd.DataFrame, pivot: int, least: float, least_shared: int, second: int = WHOLE,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Links found in one inverted list, as (number of links, local root) of its rows.
 
     The score of a pair is the number of its common pivots, and one more if the same
     pivot is the nearest of both. The cosine is worked out where the score is enough; a
-    pair is counted only in the list of its smallest common pivot. With rows of side 1,
+    pair is counted only in one of the lists where it meets. With rows of side 1,
     pairs are taken across.
     """
     n, width = len(rows), len(rows["vector"].iloc[0])
@@ -91,8 +142,7 @@ def list_links(
             if not many:
                 close = np.einsum("ij,ij->i", v[i], v[j]) >= least
                 i, j = i[close], j[close]
-            both = marks[i] * marks[j] > 0
-            own = local[both.argmax(axis=1)] == pivot
+            own = owned(marks[i] * marks[j] > 0, local, pivot, second)
             i, j = i[own], j[own]
             np.add.at(links, i, weight[j])
             np.add.at(links, j, weight[i])
@@ -103,11 +153,11 @@ def list_links(
 def unit_links(rows: pd.DataFrame, least: float, least_shared: int) -> pd.DataFrame:
     """(node, links, root) of the rows with links in one unit of inverted lists."""
     found = []
-    for (_, pivot, _), part in rows.groupby(["label", "pivot", "width"]):
+    for (_, pivot, second, _), part in rows.groupby(["label", "pivot", "second", "width"]):
         if len(part) < 2:
             continue
         part = part.sort_values(["side", "node"], kind="stable")
-        links, parent = list_links(part, pivot, least, least_shared)
+        links, parent = list_links(part, pivot, least, least_shared, second)
         node = part["node"].to_numpy()
         some = links > 0
         found.append(pd.DataFrame(
@@ -131,9 +181,11 @@ def embedding_groups(
     that costs comparisons, not links. A vector is described by its ``prefix``
     nearest points in order and stands in the inverted list of each, per label. Vectors
     that share ``shared_pivots`` points are compared in double precision; the nearest
-    point of both counts twice. A list of more
-    than ``list_rows`` is compared piece by piece, so hot lists lose nothing and no task
-    holds more than two pieces; tasks return sums and spanning links, never pairs.
+    point of both counts twice. A list of more than ``list_rows`` is cut up into lists of two
+    points if that saves comparisons: whatever it compares shares a second one or has the
+    first as its nearest. What is still longer is compared piece by piece. So hot lists lose
+    nothing and no task holds more than two pieces; tasks return sums and spanning links,
+    never pairs.
 
     Only equal, non-null labels and equal numbers of components are compared. Null
     vectors, zero vectors and those with null or non-finite components link with
@@ -175,11 +227,20 @@ def embedding_groups(
                 yield same.assign(pivots=list(pivots), width=np.int32(width))
 
     kind = ", ".join(f"{n} {t}" for n, t in nodes.drop("least").dtypes)
-    told = nodes.drop("least").mapInPandas(describe, f"{kind}, pivots array<int>, width int")
-    lists = shared.put(told.withColumn("pivot", F.explode("pivots")))
+    told = shared.put(
+        nodes.drop("least").mapInPandas(describe, f"{kind}, pivots array<int>, width int"))
     fits = min(shared_pivots, max(1, len(points)))
+    # Where one common pivot is enough, a pair need not meet under a second one.
+    lists = told.withColumn("pivot", F.explode("pivots"))
+    cut = shared.put(lists_to_cut(shared, lists, list_rows).filter(F.lit(fits > 1)))
+    same = [F.col(k) == F.col(f"_{k}") for k in ("label", "pivot", "width")]
+    lists = lists.join(cut, same, "left").withColumn(
+        "second",
+        F.explode(sublists(F.col("pivots"), F.col("pivot"), F.col("_pivot").isNotNull())),
+    ).drop(*cut.columns)
+    keys = ["label", "pivot", "second", "width"]
     found = shared.put(
-        work_units(shared, lists, ["label", "pivot", "width"], "node", list_rows, 4 * list_rows)
+        work_units(shared, lists, keys, "node", list_rows, 4 * list_rows)
         .groupBy("unit", "lo", "hi")
         .applyInPandas(lambda part: unit_links(part, cosine, fits),
                        "node long, links long, root long")

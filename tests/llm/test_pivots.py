@@ -5,7 +5,12 @@ import pandas as pd
 import pytest
 from test_components import plain_components
 
-from marketlens.llm.pivots import embedding_groups, list_links
+from pyspark.sql import functions as F
+
+from marketlens.llm.pivots import (
+    NEAREST, WHOLE, embedding_groups, list_links, lists_to_cut, nearest, sublists,
+)
+from marketlens.llm.shared import Shared
 
 SCHEMA = "vec_id long, embedding array<float>, label int, node string, copies int"
 
@@ -113,6 +118,63 @@ def test_the_nearest_pivot_of_both_counts_twice():
     assert links == {1: [1, 1, 0, 0], 2: [0, 0, 0, 0], 4: [1, 0, 1, 0]}
 
 
+@pytest.mark.parametrize("shared_pivots", [1, 2])
+def test_lists_cut_up_find_the_same_links(spark, shared_pivots):
+    """Long lists of the second run are cut up by second pivots, some again into pieces."""
+    rows = clouds(60, labels=1)
+    whole = run(spark, rows, shared_pivots=shared_pivots)
+    assert sum(r[1] for r in whole) > 40
+    assert run(spark, rows, shared_pivots=shared_pivots, list_rows=16) == whole
+
+
+def test_pairs_meet_once_under_two_pivots():
+    """Four rows that all are links: each pair is counted under its two smallest common pivots."""
+    rows = pd.DataFrame({
+        "vector": [[1.0, 0.0], [1.0, 0.1], [1.0, 0.2], [1.0, 0.3]], "copies": 1, "side": 0,
+        "pivots": [[4, 1, 2], [2, 1, 4], [4, 5, 6], [1, 4, 8]], "lo": -1, "hi": -1,
+    })
+
+    def links(pivot, second):
+        own = [p for p in rows["pivots"]]
+        here = [pivot in p and (second in p if second >= 0 else p[0] == pivot) for p in own]
+        part = rows[here].reset_index(drop=True)
+        found = list_links(part, pivot, 0.9, 2, second)[0] if len(part) else []
+        return dict(zip(np.flatnonzero(here).tolist(), np.asarray(found).tolist()))
+
+    assert links(1, 2) == {0: 1, 1: 1}
+    assert links(1, 4) == {0: 1, 1: 1, 3: 2}
+    assert links(2, 4) == {0: 0, 1: 0}
+    assert links(4, NEAREST) == {0: 1, 2: 1}
+
+
+def test_sublists(spark):
+    rows = spark.createDataFrame(
+        [([4, 1, 2], 4, True), ([4, 1, 2], 1, True), ([4, 1, 2], 2, True), ([4, 1, 2], 1, False),
+         ([1], 1, True), ([2, 9], 9, True)],
+        "pivots array<int>, pivot int, hot boolean")
+    got = rows.select(sublists(F.col("pivots"), F.col("pivot"), F.col("hot")).alias("s")).collect()
+    assert [sorted(r.s) for r in got] == [[NEAREST], [2, 4], [4], [WHOLE], [NEAREST], []]
+
+
+def test_only_lists_that_gain_by_it_are_cut_up(spark):
+    """Rows of label 1 share all three points. In label 2, 60 rows hold point 5, of which 30
+    meet under 1 and 5 and have it as their nearest; all that hold point 1 hold 5 as well."""
+    rows = [(1, [1, 2, 3], 4)] * 30 + [(2, [5, 1, 10 + i], 4) for i in range(30)]
+    rows += [(2, [20 + i, 5, 60 + i], 4) for i in range(30)]
+    told = spark.createDataFrame(rows, "label int, pivots array<int>, width int")
+    lists = told.withColumn("pivot", F.explode("pivots"))
+    cut = lists_to_cut(Shared(spark), lists, 20).collect()
+    assert sorted((r._label, r._pivot) for r in cut) == [(2, 5)]
+
+
+@pytest.mark.parametrize("prefix", [1, 3, 8, 40])
+def test_nearest_points_come_in_order(prefix):
+    rng = np.random.default_rng(11)
+    v, points = rng.normal(size=(50, 6)), rng.normal(size=(20, 6))
+    whole = np.argsort(-(v @ points.T), axis=1, kind="stable")
+    assert (nearest(v, points, prefix) == whole[:, :prefix]).all()
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
